@@ -82,18 +82,20 @@ def _load_stamp():
     return F.timestamp_add("MINUTE", F.coalesce("kafka_partition", F.lit(0)) * 7, "sent_at")
 
 
-def _warehouse(spark, sf_dir):
-    silver = _silver(spark, sf_dir)
+def _table(spark, sf_dir, name):
+    """One warehouse table, derived from the events."""
+    build = {
+        views.FACT: lambda silver: silver,
+        views.ALERTS: scoring.alerts,
+        views.SUMMARY: activity.summarize,
+    }[name]
     midnight = F.col("transaction_date").cast("timestamp")
-    return {
-        views.FACT: publishing.shape(silver, views.FACT, _load_stamp()),
-        views.ALERTS: publishing.shape(scoring.alerts(silver), views.ALERTS, _load_stamp()),
-        views.SUMMARY: publishing.shape(activity.summarize(silver), views.SUMMARY, midnight),
-    }
+    stamp = midnight if name == views.SUMMARY else _load_stamp()
+    return publishing.shape(build(_silver(spark, sf_dir)), name, stamp)
 
 
-def _table(spark, sf_dir, name):
-    return _warehouse(spark, sf_dir)[name]
+def _warehouse(spark, sf_dir):
+    return {name: _table(spark, sf_dir, name) for name in c.WAREHOUSE_TABLES}
 
 
 # --- sources and sinks -----------------------------------------------------
@@ -449,7 +451,8 @@ def load_report(spark, sf_dir):
 
 def _register_view(name):
     def build(spark, sf_dir):
-        return views.build(name, _warehouse(spark, sf_dir))
+        view = views.VIEWS[name]
+        return view.build(_table(spark, sf_dir, view.table))
 
     # The two documented-only trend reports go by their plain names.
     build.__name__ = name.removeprefix("v_") if name in (
