@@ -34,6 +34,14 @@ def mean(value: Column) -> Column:
     return F.try_divide(total(value), F.count(value))
 
 
+def mean_over(value: Column, window) -> Column:
+    """Window counterpart of :func:`mean`."""
+    exact, priced = cents(value), F.count(value).over(window)
+    complete = F.count(exact).over(window) == priced
+    exact_sum = F.when(complete, F.try_sum(exact).over(window) / F.lit(100.0))
+    return F.try_divide(F.coalesce(exact_sum, F.sum(value).over(window)), priced)
+
+
 def percent(part: Column, whole: Column, digits: int) -> Column:
     """Share in percent, NULL when there is no whole."""
     return F.round(F.try_divide(part.cast("double") * 100, whole.cast("double")), digits)

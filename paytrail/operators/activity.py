@@ -22,7 +22,7 @@ def arrival_order() -> Column:
 def volume() -> list[Column]:
     amount = F.col("amount")
     return [
-        F.count(F.lit(1)).alias("tx_count"),
+        F.count("_tx").alias("tx_count"),
         money.total(amount).alias("total_amount_sent"),
         money.mean(amount).alias("avg_amount"),
         F.max(amount).alias("max_amount"),
@@ -47,13 +47,39 @@ def risk_counts() -> list[Column]:
     ]
 
 
+def _names(silver: DataFrame) -> DataFrame:
+    """Distinct recipients per account and day, and distinct types outside the known set."""
+
+    def entry(kind: str, column: str) -> Column:
+        return F.struct(F.lit(kind).alias("_kind"), F.col(column).alias("_name"))
+
+    recipient, kind = entry("recipient", "nameDest"), entry("type", "type")
+    unusual = ~F.col("type").isin(*c.TRANSACTION_TYPES)
+    entries = F.when(unusual, F.array(recipient, kind)).otherwise(F.array(recipient))
+    return (
+        silver.select(*ACCOUNT_DAY, F.inline(entries))
+        .where(F.col("_name").isNotNull())
+        .distinct()
+    )
+
+
 def diversity() -> list[Column]:
-    """Distinct counts. The 24 hours fit a bit mask, which needs no distinct step."""
-    hours = F.bit_or(F.expr("shiftleft(1, transaction_hour)"))
+    """Distinct counts: names arrive distinct, known types and hours fit bit masks."""
+    known = F.coalesce(*(
+        F.when(F.col("type") == kind, 1 << i) for i, kind in enumerate(c.TRANSACTION_TYPES)
+    ))
+    hour = F.expr("shiftleft(1, transaction_hour)")
+
+    def members(mask: Column) -> Column:
+        return F.coalesce(F.bit_count(F.bit_or(mask)), F.lit(0))
+
+    def named(kind: str) -> Column:
+        return F.count_if(F.col("_kind") == kind)
+
     return [
-        F.count_distinct("nameDest").alias("unique_recipients"),
-        F.count_distinct("type").alias("unique_tx_types"),
-        F.coalesce(F.bit_count(hours), F.lit(0)).cast("bigint").alias("hours_active"),
+        named("recipient").alias("unique_recipients"),
+        (members(known) + named("type")).alias("unique_tx_types"),
+        members(hour).cast("bigint").alias("hours_active"),
     ]
 
 
@@ -75,15 +101,29 @@ def risk_level() -> Column:
     return F.coalesce(*ladder, F.lit(c.RISK_LEVELS[-1]))
 
 
+def account_days(silver: DataFrame, measures: list[Column]) -> DataFrame:
+    """Measures per account and day.
+
+    Several distinct counts in one aggregation would copy every row and shuffle
+    all measures per distinct name. Instead the distinct names are appended to the
+    rows, with every other column NULL, and one map-side combined aggregation
+    takes both. An account with a large share of all rows is spread by recipient
+    for the names and combined before the shuffle for the rest.
+    """
+    rows = silver.withColumn("_tx", F.lit(1))
+    return (
+        rows.unionByName(_names(silver), allowMissingColumns=True)
+        .groupBy(*ACCOUNT_DAY)
+        .agg(*measures)
+    )
+
+
 def summarize(silver: DataFrame) -> DataFrame:
     """One row per account and day."""
     measures = (
         volume() + balances() + risk_counts() + diversity() + type_counts() + quality_counts()
     )
-    return (
-        silver.groupBy(*ACCOUNT_DAY).agg(*measures)
-        .withColumn("account_risk_level", risk_level())
-    )
+    return account_days(silver, measures).withColumn("account_risk_level", risk_level())
 
 
 def with_alert_counts(summary: DataFrame, alerts: DataFrame) -> DataFrame:

@@ -59,8 +59,8 @@ def flag_quality(df: DataFrame, mismatch_types=None) -> DataFrame:
 
 
 def drop_incomplete(df: DataFrame) -> DataFrame:
-    """Drop rows that lack a critical value."""
-    return df.where(~any_null(c.CRITICAL_COLUMNS))
+    """Drop rows that lack a critical value; not-a-number counts as lacking."""
+    return df.dropna(subset=list(c.CRITICAL_COLUMNS))
 
 
 def fill_missing(df: DataFrame) -> DataFrame:

@@ -25,6 +25,10 @@ def _same(left: list[str], right: list[str]) -> Column:
     )
 
 
+def _running(window):
+    return window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
 def exact_quantile(
     df: DataFrame, keys: list[str], value: str, q: float, name: str
 ) -> DataFrame:
@@ -43,7 +47,7 @@ def exact_quantile(
 
     group = Window.partitionBy(*keys)
     histogram = counts.groupBy(*keys, "_bucket").agg(F.sum("_n").alias("_rows"))
-    upto = F.sum("_rows").over(group.orderBy("_bucket"))
+    upto = F.sum("_rows").over(_running(group.orderBy("_bucket")))
     position = (F.sum("_rows").over(group) - 1) * F.lit(float(q))
     wanted = (
         histogram.select(
@@ -58,7 +62,7 @@ def exact_quantile(
         .where((F.col("_before") <= F.col("_high_rank")) & (F.col("_upto") > F.col("_low_rank")))
     )
 
-    within = Window.partitionBy(*keys, "_bucket").orderBy("_value")
+    within = _running(Window.partitionBy(*keys, "_bucket").orderBy("_value"))
     end = F.col("_before") + F.sum("_n").over(within)
     ranked = (
         counts.join(

@@ -61,25 +61,48 @@ def sender_profile(silver: DataFrame, scope=DAY_SCOPE) -> DataFrame:
     return steps.select(*scope, "step", "sender_tx_count_in_step", mean.alias("sender_avg_amount"))
 
 
-def with_sender_profile(silver: DataFrame, scope=DAY_SCOPE) -> DataFrame:
-    """Attach the profile and the two rules that depend on it.
+def profile_by_join(silver: DataFrame, scope=DAY_SCOPE) -> DataFrame:
+    """Attach the sender profile with a join: right for any spread of senders.
 
-    This is a join and not a window over the rows, because a window would sort
-    all rows of a hot sender in one task. Adaptive execution broadcasts a small
-    profile and splits a hot sender's partition of a large join.
+    Adaptive execution broadcasts a small profile, and in a large join splits the
+    partition of a hot sender over many tasks.
     """
     keys = (*scope, "step")
     profile = sender_profile(silver, scope).withColumnsRenamed({k: f"_{k}" for k in keys})
     same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys))
-    return (
-        silver.join(profile, same, "left")
-        .drop(*(f"_{k}" for k in keys))
-        .withColumns({
-            "r4_large_amount": F.col("amount")
-            > F.col("sender_avg_amount") * c.LARGE_AMOUNT_FACTOR,
-            "r5_rapid_repeat": F.col("sender_tx_count_in_step") >= c.RAPID_REPEAT_COUNT,
-        })
-    )
+    return silver.join(profile, same, "left").drop(*(f"_{k}" for k in keys))
+
+
+def profile_by_window(silver: DataFrame, scope=DAY_SCOPE) -> DataFrame:
+    """Attach the sender profile with windows: one shuffle instead of four.
+
+    Each sender's rows meet in one task, so use it only where the largest sender
+    is known to be small; see :data:`WINDOW_LIMIT`.
+    """
+    sender = Window.partitionBy(*scope)
+    return silver.withColumns({
+        "sender_avg_amount": money.mean_over(F.col("amount"), sender),
+        "sender_tx_count_in_step": F.count(F.lit(1)).over(Window.partitionBy(*scope, "step")),
+    })
+
+
+# Rows of one sender that a single task sorts without strain.
+WINDOW_LIMIT = 1_000_000
+
+
+def profiler(largest_sender: int | None):
+    """The cheaper way to attach profiles that is safe for the largest sender's rows."""
+    small = largest_sender is not None and largest_sender <= WINDOW_LIMIT
+    return profile_by_window if small else profile_by_join
+
+
+def with_sender_profile(silver: DataFrame, scope=DAY_SCOPE, attach=profile_by_join) -> DataFrame:
+    """Add the sender profile and the two rules that depend on it."""
+    mean = F.col("sender_avg_amount")
+    return attach(silver, scope).withColumns({
+        "r4_large_amount": F.col("amount") > mean * c.LARGE_AMOUNT_FACTOR,
+        "r5_rapid_repeat": F.col("sender_tx_count_in_step") >= c.RAPID_REPEAT_COUNT,
+    })
 
 
 def reasons(rules=RULES) -> Column:
@@ -98,19 +121,21 @@ def severity(points: Column, tiers=c.SEVERITY_TIERS) -> Column:
 
 
 def score_all(
-    silver: DataFrame, scope=DAY_SCOPE, rules=RULES, tiers=c.SEVERITY_TIERS
+    silver: DataFrame,
+    scope=DAY_SCOPE,
+    rules=RULES,
+    tiers=c.SEVERITY_TIERS,
+    attach=profile_by_join,
 ) -> DataFrame:
     """Every transaction with its reasons, score and severity."""
     return (
-        with_sender_profile(silver, scope)
+        with_sender_profile(silver, scope, attach)
         .withColumns({"alert_reasons": reasons(rules), "alert_score": score(rules)})
         .withColumn("alert_severity", severity(F.col("alert_score"), tiers))
     )
 
 
-def alerts(
-    silver: DataFrame, scope=DAY_SCOPE, rules=RULES, tiers=c.SEVERITY_TIERS
-) -> DataFrame:
+def alerts(silver: DataFrame, **policy) -> DataFrame:
     """The alert table: transactions that trigger at least one rule."""
-    scored = score_all(silver, scope, rules, tiers).where(F.col("alert_score") >= 1)
+    scored = score_all(silver, **policy).where(F.col("alert_score") >= 1)
     return scored.select(*(name for name in c.ALERT_COLUMNS if name in scored.columns))

@@ -82,16 +82,21 @@ def run_gold(spark: SparkSession, lake: Lake, day: dt.date) -> dict:
     silver = tables.read_day(spark, lake.silver, day)
     stamp = F.current_timestamp()
 
-    alerts_seen, summary_seen = Observation(), Observation()
-    alerts = scoring.alerts(silver).withColumn("gold_processed_at", stamp)
-    tables.overwrite_day(
-        alerts.observe(alerts_seen, *metrics.alert_columns()), lake.alerts, day
+    # The summary goes first: its largest count tells how alerts may be computed.
+    summary_seen = Observation()
+    summary = activity.summarize(silver).withColumn("gold_processed_at", stamp).observe(
+        summary_seen, *metrics.summary_columns(), F.max("tx_count").alias("largest_sender")
     )
-    summary = activity.summarize(silver).withColumn("gold_processed_at", stamp)
+    tables.overwrite_day(summary, lake.summary, day)
+    seen = summary_seen.get
+
+    alerts_seen = Observation()
+    attach = scoring.profiler(seen.pop("largest_sender"))
+    alerts = scoring.alerts(silver, attach=attach).withColumn("gold_processed_at", stamp)
     tables.overwrite_day(
-        summary.observe(summary_seen, *metrics.summary_columns()), lake.summary, day
+        alerts.observe(alerts_seen, *metrics.alert_columns()), lake.alerts, day
     )
-    return alerts_seen.get | summary_seen.get
+    return alerts_seen.get | seen
 
 
 def run_load(spark: SparkSession, lake: Lake, day: dt.date) -> dict[str, int]:

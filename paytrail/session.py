@@ -13,15 +13,17 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Pin the settings results depend on; leave sizing to the cluster.
 
     Calendar columns are UTC. Adaptive execution sizes shuffles at run time and
-    splits the partitions of a hot sender in the scoring join.
+    splits the partitions of a hot sender in the scoring join; it hashes instead
+    of sorting where every partition of one side is found to be small.
     """
     for key, value in {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     }.items():
-        if spark.conf.get(key) != value:
+        if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
 

@@ -371,7 +371,7 @@ def gold_metrics(spark, sf_dir):
 
 
 def _account_days(spark, sf_dir, *measures):
-    return _silver(spark, sf_dir).groupBy(*activity.ACCOUNT_DAY).agg(*measures)
+    return activity.account_days(_silver(spark, sf_dir), measures)
 
 
 @query
