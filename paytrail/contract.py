@@ -6,8 +6,21 @@ readers rely on; the logic lives elsewhere.
 
 from pyspark.sql import types as T
 
+_TYPES = {
+    "STRING": T.StringType(), "BINARY": T.BinaryType(), "BOOLEAN": T.BooleanType(),
+    "INT": T.IntegerType(), "BIGINT": T.LongType(), "DOUBLE": T.DoubleType(),
+    "DATE": T.DateType(), "TIMESTAMP": T.TimestampType(),
+}
+
+
+def _columns(text: str) -> T.StructType:
+    """Schema from ``name TYPE`` pairs; needs no running session, unlike Spark's parser."""
+    pairs = (item.split() for item in text.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
+
+
 # The ledger file, in header order.
-LEDGER_SCHEMA = T.StructType.fromDDL(
+LEDGER_SCHEMA = _columns(
     "step BIGINT, type STRING, amount DOUBLE, "
     "nameOrig STRING, oldbalanceOrg DOUBLE, newbalanceOrig DOUBLE, "
     "nameDest STRING, oldbalanceDest DOUBLE, newbalanceDest DOUBLE, "
@@ -15,7 +28,7 @@ LEDGER_SCHEMA = T.StructType.fromDDL(
 )
 
 # Fields the producer adds to every ledger row.
-DERIVED_SCHEMA = T.StructType.fromDDL(
+DERIVED_SCHEMA = _columns(
     "balanceDropOrig DOUBLE, balanceChangeDest DOUBLE, expectedDrop DOUBLE, "
     "dropMatchesAmount BOOLEAN, isFullDrain BOOLEAN, isSuspicious BOOLEAN, "
     "sentAt STRING, source STRING"
@@ -24,14 +37,14 @@ DERIVED_SCHEMA = T.StructType.fromDDL(
 MESSAGE_SCHEMA = T.StructType(LEDGER_SCHEMA.fields + DERIVED_SCHEMA.fields)
 
 # The columns a message broker adds around each message.
-ENVELOPE_SCHEMA = T.StructType.fromDDL(
+ENVELOPE_SCHEMA = _columns(
     "key BINARY, value BINARY, topic STRING, partition INT, offset BIGINT, timestamp TIMESTAMP"
 )
 
-BROKER_SCHEMA = T.StructType.fromDDL(
+BROKER_SCHEMA = _columns(
     "kafka_partition INT, kafka_offset BIGINT, kafka_timestamp TIMESTAMP"
 )
-DAY_PARTITION_SCHEMA = T.StructType.fromDDL("year STRING, month STRING, day STRING")
+DAY_PARTITION_SCHEMA = _columns("year STRING, month STRING, day STRING")
 
 BRONZE_SCHEMA = T.StructType(
     BROKER_SCHEMA.fields
@@ -126,7 +139,7 @@ WAREHOUSE_NAMES = {
 }
 
 # Warehouse tables. Types are given where the column is declared.
-FACT_TABLE = T.StructType.fromDDL(
+FACT_TABLE = _columns(
     "transaction_id STRING, step BIGINT, type STRING, amount DOUBLE, "
     "name_orig STRING, name_dest STRING, "
     "old_balance_orig DOUBLE, new_balance_orig DOUBLE, "
@@ -140,7 +153,7 @@ FACT_TABLE = T.StructType.fromDDL(
     "kafka_partition INT, kafka_offset BIGINT, "
     "silver_processed_at TIMESTAMP, loaded_at TIMESTAMP"
 )
-ALERT_TABLE = T.StructType.fromDDL(
+ALERT_TABLE = _columns(
     "alert_id STRING, name_orig STRING, name_dest STRING, type STRING, amount DOUBLE, step BIGINT, "
     "old_balance_orig DOUBLE, new_balance_orig DOUBLE, "
     "old_balance_dest DOUBLE, new_balance_dest DOUBLE, "
@@ -153,7 +166,7 @@ ALERT_TABLE = T.StructType.fromDDL(
     "kafka_partition INT, kafka_offset BIGINT, "
     "silver_processed_at TIMESTAMP, gold_processed_at TIMESTAMP, loaded_at TIMESTAMP"
 )
-SUMMARY_TABLE = T.StructType.fromDDL(
+SUMMARY_TABLE = _columns(
     "summary_id STRING, name_orig STRING, transaction_date DATE, "
     "tx_count BIGINT, total_amount_sent DOUBLE, avg_amount DOUBLE, "
     "max_amount DOUBLE, min_amount DOUBLE, "
