@@ -18,6 +18,11 @@ def cents(value: Column) -> Column:
     return F.when(scaled / F.lit(100.0) == value, scaled)
 
 
+def round_cents(value: Column) -> Column:
+    """Round to cents, ties to even; doubles too large to hold cents stay as they are."""
+    return F.when(F.abs(value) < 7e13, F.rint(value * 100) / F.lit(100.0)).otherwise(value)
+
+
 def total_cents(value: Column) -> Column:
     """Aggregate: the group's total in cents, NULL if it is not exact."""
     exact = cents(value)

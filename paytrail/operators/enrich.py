@@ -5,16 +5,17 @@ from pyspark.sql import functions as F
 
 from paytrail import contract as c
 from paytrail.functions.calendar import iso_text
+from paytrail.functions.money import round_cents
 
 
 def enrich(ledger: DataFrame, sent_at: Column, source: str = c.SOURCE_NAME) -> DataFrame:
     """Add the eight derived message fields. ``sent_at`` is the publish time."""
     old, new, amount = F.col("oldbalanceOrg"), F.col("newbalanceOrig"), F.col("amount")
-    drop = F.round(old - new, 2)
+    drop = round_cents(old - new)
     derived = {
         "balanceDropOrig": drop,
-        "balanceChangeDest": F.round(F.col("newbalanceDest") - F.col("oldbalanceDest"), 2),
-        "expectedDrop": F.round(amount, 2),
+        "balanceChangeDest": round_cents(F.col("newbalanceDest") - F.col("oldbalanceDest")),
+        "expectedDrop": round_cents(amount),
         "dropMatchesAmount": F.abs(drop - amount) < c.DROP_MATCH_TOLERANCE,
         "isFullDrain": (old > 0) & (new == 0),
         "isSuspicious": F.coalesce(F.col("isFraud"), F.lit(0)) != 0,

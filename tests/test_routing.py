@@ -86,3 +86,10 @@ def test_enrich(spark):
     assert drained.dropMatchesAmount
     assert not empty.isFullDrain and not empty.isSuspicious and odd.isSuspicious
     assert seen.get == {"sent": 4, "fraud": 2}
+
+
+def test_cents_are_rounded_as_the_producer_does(spark):
+    amounts = [1.005, 0.125, 0.285, -0.375, 12345678.905, 1e17, 0.1 + 0.2]
+    ledger = rows.ledger(spark, *[dict(amount=a) for a in amounts])
+    found = enrich(ledger, F.current_timestamp()).collect()
+    assert [r.expectedDrop for r in found] == [round(a, 2) for a in amounts]

@@ -5,37 +5,43 @@ negative, unknown and repeated values. The rules exist in both Spark and SQL
 (see ``oracle.py``), and the number of rows grows with the table.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paytrail.operators.enrich import enrich
 from paytrail.sources.broker import encode
 
-# Event type -> transaction type.
-TYPE_OF_EVENT = {
-    "view": "PAYMENT",
-    "click": "TRANSFER",
-    "purchase": "CASH_OUT",
-    "error": "DEBIT",
-    "signup": "CASH_IN",
-}
 REPEAT_OFFSET = 100_000_000
 
-
-def _every(n: int) -> Column:
-    return F.col("event_id") % n == 0
-
-
-def _raw_type() -> Column:
-    known = F.coalesce(*(
-        F.when(F.col("event_type") == event, kind) for event, kind in TYPE_OF_EVENT.items()
-    ))
-    return (
-        F.when(_every(239), F.lit(None).cast("string"))
-        .when(_every(227), "UNKNOWN")
-        .when(_every(241), " transfer ")
-        .otherwise(known)
-    )
+# Ledger columns as expressions over an event, its amount ``amt``
+# and whether it is a repeat (``again`` is 0 or 1).
+LEDGER_COLUMNS = {
+    "step": "CAST((day(ts) - 1) * 24 + hour(ts) + 1 AS BIGINT)",
+    "type": """CASE WHEN event_id % 239 = 0 THEN NULL
+        WHEN event_id % 227 = 0 THEN 'UNKNOWN'
+        WHEN event_id % 241 = 0 THEN ' transfer '
+        WHEN event_type = 'view' THEN 'PAYMENT'
+        WHEN event_type = 'click' THEN 'TRANSFER'
+        WHEN event_type = 'purchase' THEN 'CASH_OUT'
+        WHEN event_type = 'error' THEN 'DEBIT'
+        WHEN event_type = 'signup' THEN 'CASH_IN' END""",
+    "amount": "CASE WHEN event_id % 211 = 0 THEN NULL WHEN event_id % 223 = 0 THEN -amt "
+              "ELSE amt END",
+    "nameOrig": "concat('C', user_id)",
+    "oldbalanceOrg": "CASE event_id % 5 WHEN 0 THEN amt WHEN 1 THEN 0D "
+                     "ELSE amt + event_id % 1000 END",
+    "newbalanceOrig": "CASE WHEN event_id % 5 IN (0, 1) OR event_id % 10 = 2 THEN 0D "
+                      "ELSE CAST(event_id % 1000 AS DOUBLE) END",
+    "nameDest": "CASE WHEN event_id % 233 <> 0 THEN concat('M', event_id * 31 % 97) END",
+    "oldbalanceDest": "CAST(event_id % 5000 AS DOUBLE)",
+    "newbalanceDest": "CAST(event_id % 5000 AS DOUBLE) + amt",
+    "isFraud": """CASE WHEN event_id % 229 = 0 THEN NULL WHEN event_id % 251 = 0 THEN 7
+        WHEN event_id % 53 = 0 AND event_type IN ('click', 'purchase') THEN 1 ELSE 0 END""",
+    "isFlaggedFraud": "IF(event_type = 'click' AND amt > 200000, 1, 0)",
+    "kafka_partition": "CAST(user_id % 4 AS INT)",
+    "kafka_offset": f"event_id + again * {REPEAT_OFFSET}L",
+    "kafka_timestamp": "CAST(ts AS TIMESTAMP)",
+}
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,34 +57,11 @@ def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ledger(source: DataFrame) -> DataFrame:
     """Raw ledger rows with broker position and event time; batch or stream."""
-    e = F.col("event_id")
-    amt = F.round(F.col("value") * 2000, 2)
-    rest = (e % 1000).cast("double")
-    fifth, tenth = e % 5, e % 10
-    dest = (e % 5000).cast("double")
-    fraud_prone = F.col("event_type").isin("click", "purchase")
-    repeats = F.when(_every(101), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return source.select("*", F.explode(repeats).alias("repeat")).select(
-        ((F.day("ts") - 1) * 24 + F.hour("ts") + 1).cast("bigint").alias("step"),
-        _raw_type().alias("type"),
-        F.when(_every(211), F.lit(None).cast("double")).when(_every(223), -amt).otherwise(amt)
-        .alias("amount"),
-        F.concat(F.lit("C"), F.col("user_id").cast("string")).alias("nameOrig"),
-        F.when(fifth == 0, amt).when(fifth == 1, 0.0).otherwise(amt + rest)
-        .alias("oldbalanceOrg"),
-        F.when(fifth.isin(0, 1) | (tenth == 2), 0.0).otherwise(rest).alias("newbalanceOrig"),
-        F.when(_every(233), F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit("M"), (e * 31 % 97).cast("string"))).alias("nameDest"),
-        dest.alias("oldbalanceDest"),
-        (dest + amt).alias("newbalanceDest"),
-        F.when(_every(229), F.lit(None).cast("int")).when(_every(251), 7)
-        .when(_every(53) & fraud_prone, 1).otherwise(0).alias("isFraud"),
-        F.when((F.col("event_type") == "click") & (amt > 200_000), 1).otherwise(0)
-        .alias("isFlaggedFraud"),
-        (F.col("user_id") % 4).cast("int").alias("kafka_partition"),
-        (e + F.col("repeat") * REPEAT_OFFSET).alias("kafka_offset"),
-        F.col("ts").cast("timestamp").alias("kafka_timestamp"),
+    with_repeats = source.selectExpr(
+        "event_id", "ts", "user_id", "event_type", "round(value * 2000, 2) AS amt",
+        "explode(IF(event_id % 101 = 0, array(0, 1), array(0))) AS again",
     )
+    return with_repeats.selectExpr(*(f"{rule} AS {n}" for n, rule in LEDGER_COLUMNS.items()))
 
 
 def messages(source: DataFrame) -> DataFrame:
