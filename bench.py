@@ -30,6 +30,7 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", str(2 * int(CPUS)))
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "6g"))
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )

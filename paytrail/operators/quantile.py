@@ -14,9 +14,13 @@ BUCKETS_PER_E_FOLD = 1024
 
 
 def _bucket(value: Column) -> Column:
-    """Non-decreasing in the value, about 0.1 % wide, so few buckets cover all doubles."""
-    size = F.floor(F.log1p(F.abs(value)) * BUCKETS_PER_E_FOLD)
-    return (F.signum(value) * size).cast("bigint")
+    """Non-decreasing in the value, about 0.1 % wide, so few buckets cover all doubles.
+
+    Infinities and not-a-number go to the outermost buckets.
+    """
+    size = F.log1p(F.abs(value)) * BUCKETS_PER_E_FOLD
+    regular = (F.signum(value) * F.rint(size)).try_cast("bigint")
+    return F.coalesce(regular, F.when(value < 0, F.lit(-(2**40))).otherwise(F.lit(2**40)))
 
 
 def _same(left: list[str], right: list[str]) -> Column:

@@ -1,6 +1,7 @@
 """The daily jobs: Bronze to Silver, Silver to Gold, and on to the warehouse."""
 
 import datetime as dt
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -12,6 +13,8 @@ from paytrail.operators import activity, cleaning, metrics, publishing, quality,
 from paytrail.sources import tables
 from paytrail.streaming.ingest import BRONZE, read_route
 
+log = logging.getLogger(__name__)
+
 
 def to_silver(bronze: DataFrame, mismatch_types=None) -> DataFrame:
     """Clean, flag and deduplicate messages. One shuffle, for the duplicates."""
@@ -50,6 +53,10 @@ class Lake:
     def landing(self) -> str:
         return f"{self.root}/landing"
 
+    @property
+    def bronze(self) -> str:
+        return f"{self.landing}/route={BRONZE}"
+
     @property
     def silver(self) -> str:
         return f"{self.root}/silver/transactions"
@@ -109,6 +116,7 @@ def run_load(spark: SparkSession, lake: Lake, day: dt.date) -> dict[str, int]:
     loaded = {}
     for name, path in sources.items():
         if tables.count_files(spark, day_folder(path, day)) == 0:
+            log.warning("nothing to load into %s for %s", name, day)
             loaded[name] = 0
             continue
         rows = publishing.shape(tables.read_day(spark, path, day), name, F.current_timestamp())
@@ -120,6 +128,18 @@ def read_warehouse(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(lake.warehouse(name)) for name in c.WAREHOUSE_TABLES}
 
 
+def run_day(spark: SparkSession, lake: Lake, day: dt.date) -> dict:
+    """All stages of one day in order, each behind a gate on its input."""
+    tables.require_files(spark, lake.bronze, day)
+    seen = {"silver": run_silver(spark, lake, day)}
+    seen["gold"] = run_gold(spark, lake, day)
+    for path in (lake.alerts, lake.summary):
+        tables.require_files(spark, path, day)
+    seen["loaded"] = run_load(spark, lake, day)
+    tables.require_rows(read_warehouse(spark, lake), day)
+    return seen
+
+
 def run_quality(spark: SparkSession, lake: Lake, day: dt.date, only=None) -> DataFrame:
     """Quality report of one day, for all layers or the chosen ones."""
     on_day = F.col("transaction_date") == F.lit(day)
@@ -129,7 +149,7 @@ def run_quality(spark: SparkSession, lake: Lake, day: dt.date, only=None) -> Dat
 
     def bronze_report() -> DataFrame:
         rows = read_route(spark, lake.landing, BRONZE).where(day_filter(day))
-        files = tables.count_files(spark, day_folder(f"{lake.landing}/route={BRONZE}", day))
+        files = tables.count_files(spark, day_folder(lake.bronze, day))
         return quality.check_bronze(rows, files)
 
     def gold_report() -> DataFrame:

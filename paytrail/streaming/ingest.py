@@ -52,6 +52,14 @@ def start_ingest(
     )
 
 
+def run_until_stopped(query: StreamingQuery) -> None:
+    """Wait for the stream to end; an interrupt stops it after its current batch."""
+    try:
+        query.awaitTermination()
+    except KeyboardInterrupt:
+        query.stop()
+
+
 def read_route(spark: SparkSession, landing: str, route: str) -> DataFrame:
     """Committed rows of one route; Spark prunes to its folder."""
     rows = day_text(spark.read.parquet(landing))

@@ -70,6 +70,14 @@ def test_quantile_with_repeats_missing_groups_and_values(spark):
     assert found == {"a": 1.0, None: 4.5}
 
 
+def test_quantile_of_values_that_are_no_numbers(spark):
+    data = [("a", float("inf")), ("a", float("-inf")), ("a", 1.0), ("b", float("nan")), ("b", 2.0),
+            ("b", 3.0)]
+    df = spark.createDataFrame(data, "k string, v double")
+    found = {r.k: r.x for r in exact_quantile(df, ["k"], "v", 0.5, "x").collect()}
+    assert found == {"a": 1.0, "b": 3.0}
+
+
 def test_shared_dir_comes_from_the_session(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     assert shared_dir(spark, "x").startswith(base)

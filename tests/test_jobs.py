@@ -18,7 +18,9 @@ NOW = {"availableNow": True}
 
 def _land(spark, source, work):
     stream = spark.readStream.schema(c.ENVELOPE_SCHEMA).parquet(source)
-    ingest.start_ingest(stream, f"{work}/landing", f"{work}/checkpoint", NOW).awaitTermination()
+    query = ingest.start_ingest(stream, f"{work}/landing", f"{work}/checkpoint", NOW)
+    ingest.run_until_stopped(query)
+    assert query.exception() is None
 
 
 def test_restart_neither_loses_nor_repeats(spark, tmp_path):
@@ -84,10 +86,7 @@ def _snapshot(spark, lake):
 def _run_all(spark, lake):
     seen = {}
     for day in DAYS:
-        seen[day] = (
-            medallion.run_silver(spark, lake, day), medallion.run_gold(spark, lake, day),
-            medallion.run_load(spark, lake, day),
-        )
+        seen[day] = tuple(medallion.run_day(spark, lake, day).values())
     return seen
 
 
@@ -114,9 +113,10 @@ def test_daily_jobs(spark, sf_dir, lake):
     assert {r.layer for r in only} == {"gold"}
 
 
-def test_gold_needs_silver(spark, lake):
-    with pytest.raises(tables.DataGateError):
-        medallion.run_gold(spark, lake, dt.date(2023, 1, 1))
+def test_stages_need_their_input(spark, lake):
+    for stage in (medallion.run_gold, medallion.run_day):
+        with pytest.raises(tables.DataGateError):
+            stage(spark, lake, dt.date(2023, 1, 1))
     assert medallion.run_load(spark, lake, dt.date(2023, 1, 1)) == {
         "fact_transactions": 0, "fraud_alerts": 0, "transaction_summary": 0}
 
