@@ -51,27 +51,31 @@ def store(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def numbered(
-    df: DataFrame, keys: list[str], order: list[Column], name: str, bucket_rows: int = 100_000
+def running(
+    df: DataFrame, keys: list[str], order: list[Column], weight: Column, name: str,
+    bucket_rows: int = 100_000,
 ) -> DataFrame:
-    """Number the rows of each key from 0 without gaps, never a whole key in one task.
+    """Add the sum of the weights before each row of its key, never a whole key in one task.
 
-    Rows are dealt to buckets by the hash of ``order``; a bucket's first number is
-    the prefix sum of the bucket sizes before it. So the numbers follow the buckets
-    and, inside a bucket, the order. Rows equal in all of ``order`` share a bucket
-    and are interchangeable.
+    Rows are dealt to buckets by the hash of ``order``; a bucket begins at the prefix sum of
+    the buckets before it, so sums follow the buckets and, inside a bucket, the order.
+    Rows equal in all of ``order`` share a bucket and are interchangeable.
     """
-    rows = df.count()
-    buckets = max(1, -(-rows // bucket_rows))
-    dealt = df.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
-    sizes = dealt.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
+    buckets = max(1, -(-df.count() // bucket_rows))
+    dealt = df.withColumns({
+        "_bucket": F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"), "_weight": weight,
+    })
+    sizes = dealt.groupBy(*keys, "_bucket").agg(F.sum("_weight").alias("_size"))
     earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    base = F.coalesce(F.sum("_size").over(earlier), F.lit(0))
-    bases = sizes.select(*keys, "_bucket", base.alias("_base"))
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(*order)
-    local = dealt.withColumn("_at", F.row_number().over(inside) - 1)
+    bases = sizes.select(
+        *keys, "_bucket", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_base")
+    )
+    inside = Window.partitionBy(*keys, "_bucket").orderBy(*order).rowsBetween(
+        Window.unboundedPreceding, 0
+    )
+    local = dealt.withColumn("_at", F.sum("_weight").over(inside) - F.col("_weight"))
     same = reduce(
         lambda a, b: a & b, (F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in [*keys, "_bucket"])
     )
@@ -80,6 +84,13 @@ def numbered(
     )
 
 
+def numbered(
+    df: DataFrame, keys: list[str], order: list[Column], name: str, bucket_rows: int = 100_000
+) -> DataFrame:
+    """Number the rows of each key from 0 without gaps, in the order of ``running``."""
+    return running(df, keys, order, F.lit(1).cast("long"), name, bucket_rows)
+
+
 def components(edges: DataFrame, purpose: str) -> DataFrame:
     """Connected components of undirected ``edges`` (a, b): rows (node, root), root the smallest.
 

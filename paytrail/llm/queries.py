@@ -1,8 +1,13 @@
 """The registered queries of this package and, where SQL can express them, their oracles."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from paytrail.llm import common, decontaminate, ngram_join, packing, pii
+from paytrail.llm import (
+    common, decontaminate, fingerprints, fixity, html_text, ngram_join, packing, pii, sharding,
+    token_rollup, toxicity,
+)
+from paytrail.session import shared_dir
 
 QUERIES = {}
 ORACLES = {}
@@ -34,3 +39,47 @@ def op8_pigeonhole_edit_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(
         common.read(spark, sf_dir, "documents"), common.read(spark, sf_dir, "benchmark")
     )
+
+
+@query
+def op9_two_pass_block_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(common.read(spark, sf_dir, "pages"))
+
+
+@query
+def op10_invertible_bloom_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(common.read(spark, sf_dir, "documents"))
+
+
+@query
+def op6_factorization_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(
+        common.read(spark, sf_dir, "documents"), common.read(spark, sf_dir, "labels")
+    )
+
+
+@query
+def op7_balanced_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(common.read(spark, sf_dir, "documents"))
+
+
+@query
+def op4_merkle_fixity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = common.read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    records = common.store(
+        fixity.layout(pages).withColumnRenamed("page_id", "record_id"), "fixity-records"
+    )
+    copy, payload = fixity.damaged_copy(records)
+    original = common.store(fixity.digests(records, F.col("html")), "fixity-original")
+    replica = common.store(fixity.digests(copy, payload), "fixity-replica")
+    return fixity.audit(original, replica).select(F.col("record_id").alias("page_id"), "fault")
+
+
+@query
+def op5_delta_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rollup = token_rollup.Rollup(spark, shared_dir(spark, "rollup"))
+    batches = token_rollup.history(common.read(spark, sf_dir, "documents"))
+    for name, changes in batches.items():
+        rollup.commit(name, changes)
+    rollup.commit("revision", batches["revision"])
+    return rollup.totals()
