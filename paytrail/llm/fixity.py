@@ -6,7 +6,7 @@ Two replicas with equal roots are equal. Otherwise only children of nodes that d
 compared, level by level, and last the records in the ranges that differ.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paytrail.llm.common import numbered, store
@@ -21,31 +21,39 @@ HEADER_BYTES = 256
 RECORD = ["warc_file", "record_offset", "record_id"]
 
 
-def layout(pages: DataFrame, file_records: int = FILE_RECORDS) -> DataFrame:
-    """``pages`` with warc_file, record_offset and record_length: pages written one after the other.
+def records(pages: DataFrame, payload: Column) -> DataFrame:
+    """(record_id, url, record_length, page_digest, payload_digest): hashed where they lie.
 
-    Pages are numbered in a stable order, so that no file grows with repeated pages.
+    Length and page_digest are those of the page as written, whatever ``payload`` holds now.
     """
-    from pyspark.sql import Window
-
     size = F.coalesce(F.octet_length("html"), F.lit(0)) + F.coalesce(F.octet_length("url"), F.lit(0))
-    at = numbered(
-        pages.withColumn("record_length", (size + HEADER_BYTES).cast("long")), [],
-        [F.col("page_id"), F.col("url"), F.xxhash64("html")], "_at",
+    return pages.select(
+        F.col("page_id").alias("record_id"), "url", (size + HEADER_BYTES).cast("long").alias("record_length"),
+        F.sha2("html", 256).alias("page_digest"), F.sha2(payload, 256).alias("payload_digest"),
     )
+
+
+def layout(rows: DataFrame, file_records: int = FILE_RECORDS) -> DataFrame:
+    """``rows`` with warc_file and record_offset: records written one after the other.
+
+    Records are numbered in a stable order, so that no file grows with repeated pages.
+    """
+    at = numbered(rows, [], [F.col("record_id"), F.col("url"), F.col("page_digest")], "_at")
     inside = Window.partitionBy("warc_file").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
     return at.withColumn("warc_file", F.floor(F.col("_at") / file_records).cast("long")).withColumn(
         "record_offset", F.coalesce(F.sum("record_length").over(inside), F.lit(0))
     ).drop("_at")
 
 
-def digests(records: DataFrame, payload: Column) -> DataFrame:
+def digests(rows: DataFrame, payload_digest: str = "payload_digest") -> DataFrame:
     """(warc_file, record_offset, record_id, digest): one hash for each record.
 
     The hash covers the identity, place and length of the record as well as its payload.
     """
-    text = F.to_json(F.struct("record_id", "record_length", payload.alias("payload")))
-    return records.select(*RECORD, F.sha2(text, 256).alias("digest"))
+    text = F.to_json(F.struct(
+        "record_id", "record_offset", "record_length", F.col(payload_digest).alias("payload")
+    ))
+    return rows.select(*RECORD, F.sha2(text, 256).alias("digest"))
 
 
 def _leaf(span: int, range_bytes: int) -> Column:
@@ -54,7 +62,6 @@ def _leaf(span: int, range_bytes: int) -> Column:
 
 def tree(records: DataFrame, span: int, height: int, range_bytes: int, fanout: int) -> list[DataFrame]:
     """Tables (node, hash) from the leaves to the root; ``span`` bytes are kept for each file."""
-    part = F.struct("record_offset", "record_id", "digest")
     # Repeated records are counted, not collected.
     once = records.groupBy(*RECORD, "digest").agg(F.count(F.lit(1)).alias("copies"))
     part = F.struct("warc_file", "record_offset", "record_id", "digest", "copies")
@@ -116,15 +123,17 @@ def audit(
     return both.select(*(F.coalesce(f"a.{c}", f"b.{c}").alias(c) for c in RECORD), fault.alias("fault"))
 
 
-def damaged_copy(records: DataFrame) -> tuple[DataFrame, Column]:
-    """A replica with faults that follow from the url, to audit: (records, payload).
+def damaged_payload() -> Column:
+    """What a replica holds of a page: one in 61, by its url, has a byte more."""
+    more = F.concat(F.coalesce("html", F.lit("")), F.lit("\0"))
+    return F.when(_sign() % 61 == 0, more).otherwise(F.col("html"))
 
-    One record in 61 has a byte more, one in 67 is lost, one in 71 is there again a byte later.
-    """
-    sign = F.coalesce(F.crc32(F.col("url").cast("binary")), F.lit(0))
-    kept = records.where(sign % 67 != 1)
-    again = records.where(sign % 71 == 2).withColumn("record_offset", F.col("record_offset") + 1)
-    payload = F.when(sign % 61 == 0, F.concat(F.coalesce("html", F.lit("")), F.lit("\0"))).otherwise(
-        F.col("html")
-    )
-    return kept.unionByName(again), payload
+
+def damaged_copy(rows: DataFrame) -> DataFrame:
+    """The records of that replica: one in 67 is lost, one in 71 is there again a byte later."""
+    again = rows.where(_sign() % 71 == 2).withColumn("record_offset", F.col("record_offset") + 1)
+    return rows.where(_sign() % 67 != 1).unionByName(again)
+
+
+def _sign() -> Column:
+    return F.coalesce(F.crc32(F.col("url").cast("binary")), F.lit(0))

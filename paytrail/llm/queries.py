@@ -65,13 +65,13 @@ def op7_balanced_label_propagation(spark: SparkSession, sf_dir: str) -> DataFram
 
 @query
 def op4_merkle_fixity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = common.read(spark, sf_dir, "pages").select("page_id", "url", "html")
-    records = common.store(
-        fixity.layout(pages).withColumnRenamed("page_id", "record_id"), "fixity-records"
+    pages = common.read(spark, sf_dir, "pages").select("page_id", "url", "html").withColumn(
+        "copy", fixity.damaged_payload()
     )
-    copy, payload = fixity.damaged_copy(records)
-    original = common.store(fixity.digests(records, F.col("html")), "fixity-original")
-    replica = common.store(fixity.digests(copy, payload), "fixity-replica")
+    rows = fixity.records(pages, F.col("copy"))
+    rows = common.store(fixity.layout(rows), "fixity-records")
+    original = common.store(fixity.digests(rows, "page_digest"), "fixity-original")
+    replica = common.store(fixity.digests(fixity.damaged_copy(rows)), "fixity-replica")
     return fixity.audit(original, replica).select(F.col("record_id").alias("page_id"), "fault")
 
 
