@@ -53,7 +53,7 @@ def store(df: DataFrame, purpose: str) -> DataFrame:
 
 def running(
     df: DataFrame, keys: list[str], order: list[Column], weight: Column, name: str,
-    bucket_rows: int = 100_000,
+    bucket_rows: int = 20_000,
 ) -> DataFrame:
     """Add the sum of the weights before each row of its key, never a whole key in one task.
 
@@ -85,7 +85,7 @@ def running(
 
 
 def numbered(
-    df: DataFrame, keys: list[str], order: list[Column], name: str, bucket_rows: int = 100_000
+    df: DataFrame, keys: list[str], order: list[Column], name: str, bucket_rows: int = 20_000
 ) -> DataFrame:
     """Number the rows of each key from 0 without gaps, in the order of ``running``."""
     return running(df, keys, order, F.lit(1).cast("long"), name, bucket_rows)
