@@ -336,7 +336,8 @@ def join_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         "doc_id", "n_shingles", F.coalesce("root", "dig").alias("root")
     )
     rows = store(rows, "ngram-rows")
-    lowest = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    # Stored, so that the join below deals both sides anew and a large component can be split.
+    lowest = store(rows.groupBy("root").agg(F.min("doc_id").alias("component_id")), "ngram-lowest")
     alone = described.where("dig is null or doc_id is null").select(
         "doc_id", "n_shingles", F.col("doc_id").alias("component_id")
     )
