@@ -32,17 +32,6 @@ def blocks(text: str) -> list[str]:
     return _BLOCK.findall(text)
 
 
-def keys(text: str) -> np.ndarray:
-    """One 64-bit key for each block; the n-th repeat of a block has a key of its own."""
-    seen: dict[str, int] = {}
-    found = []
-    for block in blocks(text):
-        n = seen.get(block, 0)
-        seen[block] = n + 1
-        found.append(xxhash.xxh3_64_intdigest(block, seed=n))
-    return np.array(found, np.uint64)
-
-
 def _mix(x, salt):
     x = x + np.uint64(salt)
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -50,6 +39,19 @@ def _mix(x, salt):
     return x ^ (x >> np.uint64(31))
 
 
+def keys(text: str) -> np.ndarray:
+    """A distinct 64-bit key for each block; the n-th repeat of a block has a key of its own."""
+    seen: dict[str, int] = {}
+    hashes, repeats = [], []
+    for block in blocks(text):
+        n = seen.get(block, 0)
+        seen[block] = n + 1
+        hashes.append(xxhash.xxh3_64_intdigest(block))
+        repeats.append(n)
+    # A set without repeats: otherwise one key could never be peeled.
+    return np.unique(_mix(np.array(hashes, np.uint64) + _mix(np.array(repeats, np.uint64), 1), 2))
+
+
 def _checks(key):
     return (_mix(key, 0x1234567) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
 
