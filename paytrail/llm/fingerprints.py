@@ -198,7 +198,8 @@ def _dealt(docs: DataFrame) -> DataFrame:
     firsts = rows.groupBy("range").agg(F.min(F.struct(*_ORDER)).alias("f")).orderBy("range").collect()
     guests = [(*row.f, firsts[i - 1].range) for i, row in enumerate(firsts)]
     schema = "last boolean, at long, tie long, host int"
-    heads = docs.sparkSession.createDataFrame(guests, schema)
+    # At most RANGES rows, so they can go to every task and the texts are dealt once only.
+    heads = F.broadcast(docs.sparkSession.createDataFrame(guests, schema))
     own = F.struct(F.col("range").cast("int").alias("range"), F.lit(False).alias("guest"))
     copy = F.struct(F.col("host").alias("range"), F.lit(True).alias("guest"))
     places = F.when(F.col("host").isNull(), F.array(own)).otherwise(F.array(own, copy))
