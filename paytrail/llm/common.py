@@ -21,8 +21,13 @@ def _ship(application: str, context) -> None:
     context.addPyFile(shutil.make_archive(name, "zip", root, "paytrail"))
 
 
+#: Rows handed to Python at a time. Texts are long: the usual 10,000 hold too much memory.
+BATCH_ROWS = 1000
+
+
 def shipped(df: DataFrame) -> DataFrame:
     """The same frame, after this package has been sent to the executors' Python."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     context = df.sparkSession.sparkContext
     _ship(context.applicationId, context)
     return df

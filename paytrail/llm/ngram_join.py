@@ -37,7 +37,7 @@ class _Hashes(dict):
     """Word -> hash, emptied when it gets large."""
 
     def __missing__(self, word):
-        if len(self) > 400_000:
+        if len(self) > 200_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value

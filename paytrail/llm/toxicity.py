@@ -54,7 +54,7 @@ class _Cache(dict):
         self.find = find
 
     def __missing__(self, word):
-        if len(self) > 400_000:
+        if len(self) > 200_000:
             self.clear()
         value = self[word] = self.find(word)
         return value
