@@ -240,79 +240,105 @@ def _searched(cells: DataFrame, size: int, percent: int) -> DataFrame:
     return shipped(cells).groupBy("cell").applyInPandas(run, "a long, b long")
 
 
-def candidates(described: DataFrame) -> DataFrame:
-    """(dig, grp): classes that share a part with another class, by group."""
+def shared_parts(described: DataFrame) -> DataFrame:
+    """(sig, dig, low): classes that share a part with another class; low is the part's first."""
     rows = described.select(F.explode("sigs").alias("sig"), "dig")
     shared = store(
         rows.groupBy("sig").agg(F.min("dig").alias("low"), F.max("dig").alias("high"))
         .where("low <> high").select("sig", "low"), "ngram-shared",
     )
-    edges = rows.join(shared, "sig").select(F.col("dig").alias("a"), F.col("low").alias("b"))
-    return components(edges.distinct(), "ngram-groups").select(
-        F.col("node").alias("dig"), F.col("root").alias("grp")
+    return store(rows.join(shared, "sig").distinct(), "ngram-parts")
+
+
+def _cells(members: DataFrame) -> DataFrame:
+    """Deal (grp, dig, label, text) to blocks for the search, whatever the size of a group.
+
+    The largest label of a group is only searched, the others search. A group within BLOCK is
+    one block, and small ones share a task; of a larger one every block of classes meets
+    every block of searching classes.
+    """
+    shares = members.groupBy("grp", "label").agg(F.count(F.lit(1)).alias("n"))
+    groups = store(shares.groupBy("grp").agg(
+        F.max_by("label", F.struct("n", "label")).alias("main"),
+        F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"),
+        F.ceil((F.sum("n") - F.max("n")) / BLOCK).cast("int").alias("rounds"),
+        F.sum("n").alias("n"),
+    ).where("rounds > 0"), "ngram-groups")
+    bins = max(1, -(-(groups.where("blocks = 1").agg(F.sum("n")).first()[0] or 0) // BLOCK))
+
+    def dealt(n, salt):
+        return F.pmod(F.xxhash64("dig", F.lit(salt)), n).cast("int")
+
+    def every(n):
+        return F.sequence(F.lit(0), n - 1)
+
+    rows = members.join(groups, "grp").withColumn("asks", F.col("label") != F.col("main"))
+    place = F.struct(F.lit(0).alias("block"), F.lit(0).alias("round"), F.col("asks").alias("asks"))
+    index = F.transform(every(F.col("rounds")), lambda r: F.struct(
+        dealt(F.col("blocks"), 0).alias("block"), r.alias("round"), F.lit(False).alias("asks")
+    ))
+    asking = F.transform(every(F.col("blocks")), lambda i: F.struct(
+        i.alias("block"), dealt(F.col("rounds"), 1).alias("round"), F.lit(True).alias("asks")
+    ))
+    places = F.when(F.col("blocks") == 1, F.array(place)).otherwise(
+        F.when(F.col("asks"), F.concat(index, asking)).otherwise(index)
+    )
+    cell = F.when(F.col("blocks") == 1, F.concat(F.lit("b"), F.pmod(F.xxhash64("grp"), F.lit(bins)))).otherwise(
+        F.concat_ws("-", "grp", "p.block", "p.round")
+    )
+    return rows.withColumn("p", F.explode(places)).select(
+        cell.alias("cell"), "grp", "dig", "label", F.col("p.asks").alias("asks"), "text"
     )
 
 
 def links(docs: DataFrame, described: DataFrame, size: int, percent: int) -> DataFrame:
     """Links (a, b) between classes, enough to span every component of the join."""
-    grouped = store(candidates(described), "ngram-candidates")
+    parts = shared_parts(described)
+    edges = parts.where("dig <> low").select(F.col("dig").alias("a"), F.col("low").alias("b"))
+    grouped = components(edges, "ngram-groups").select(F.col("node").alias("dig"), F.col("root").alias("grp"))
+    grouped = store(grouped, "ngram-candidates")
     sizes = grouped.groupBy("grp").agg(F.count(F.lit(1)).alias("members"))
-    first = described.where("dig is not null").groupBy("dig").agg(F.min("doc_id").alias("doc_id"))
+    first = described.groupBy("dig").agg(F.min("doc_id").alias("doc_id"))
     picked = first.join(grouped, "dig").join(sizes, "grp")
     texts = store(
         docs.select("doc_id", "text").join(picked, "doc_id").select(
-            "dig", "grp", "text",
-            F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"),
+            "dig", "grp", "text", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"),
         ), "ngram-texts",
     )
-    few = texts.where("blocks = 1")
-    bins = max(1, -(-few.count() // BLOCK))
-    asks = F.lit(True).alias("asks")
-    label = F.col("dig").alias("label")
-    small = few.select(
-        F.concat(F.lit("s"), F.pmod(F.xxhash64("grp"), F.lit(bins))).alias("cell"),
-        "grp", "dig", label, asks, "text",
-    )
-    # A large group: every block searches itself and the group's first class.
-    many = texts.where("blocks > 1")
+    # A small group is searched at once. In a large one every block searches itself and the
+    # group's first class, which joins most of what is alike.
+    small = texts.where("blocks = 1")
     spread = F.when(F.col("dig") == F.col("grp"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(
         F.array(F.pmod(F.xxhash64("dig"), F.col("blocks")).cast("int"))
     )
+    many = texts.where("blocks > 1")
     blocks = many.withColumn("block", F.explode(spread)).select(
-        F.concat_ws("-", F.lit("l"), "grp", "block").alias("cell"), "grp", "dig", label, asks, "text"
+        F.xxhash64("grp", "block").alias("grp"), "dig", F.col("dig").alias("label"), "text"
     )
-    near = store(_searched(small.unionByName(blocks), size, percent), "ngram-links")
-    # Then what is not joined to the largest component of its group searches every block.
+    small = small.select("grp", "dig", F.col("dig").alias("label"), "text")
+    bins = max(1, -(-small.count() // BLOCK))
+    asks = F.lit(True).alias("asks")
+    near = _searched(small.select(
+        F.concat(F.lit("s"), F.pmod(F.xxhash64("grp"), F.lit(bins))).alias("cell"), "*", asks
+    ).unionByName(blocks.select(F.concat(F.lit("l"), "grp").alias("cell"), "*", asks)), size, percent)
+    near = store(near, "ngram-links")
+    # What a large group still leaves open are parts whose classes are in several components.
+    # Each is searched by itself; parts with the same classes once.
     known = components(near, "ngram-known").select(F.col("node").alias("dig"), F.col("root"))
     labelled = store(
-        many.select("dig", "grp", "blocks").distinct().join(known, "dig", "left").select(
-            "dig", "grp", "blocks", F.coalesce("root", "dig").alias("label")
+        many.select("dig").distinct().join(known, "dig", "left").select(
+            "dig", F.coalesce("root", "dig").alias("label")
         ), "ngram-labels",
     )
-    shares = labelled.groupBy("grp", "label").agg(F.count(F.lit(1)).alias("n"))
-    largest = shares.groupBy("grp").agg(
-        F.max_by("label", F.struct("n", "label")).alias("main"), F.count(F.lit(1)).alias("labels")
-    )
-    open_groups = labelled.join(largest.where("labels > 1"), "grp").withColumn(
-        "asks", F.col("label") != F.col("main")
-    )
-    asking = open_groups.groupBy("grp").agg(
-        F.ceil(F.sum(F.col("asks").cast("int")) / BLOCK).cast("int").alias("rounds")
-    )
-    wide = (
-        many.select("dig", "text").join(open_groups, "dig").join(asking, "grp")
-        .withColumn("block", F.pmod(F.xxhash64("dig"), F.col("blocks")).cast("int"))
-        .withColumn("round", F.pmod(F.xxhash64("dig", F.lit(1)), F.col("rounds")).cast("int"))
-    )
-    index = wide.withColumn("at", F.explode(F.sequence(F.lit(0), F.col("rounds") - 1))).select(
-        F.concat_ws("-", "grp", "block", "at").alias("cell"),
-        "grp", "dig", "label", F.lit(False).alias("asks"), "text",
-    )
-    asked = wide.where("asks").withColumn("at", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    asked = asked.select(
-        F.concat_ws("-", "grp", "at", "round").alias("cell"), "grp", "dig", "label", "asks", "text"
-    )
-    far = store(_searched(index.unionByName(asked), size, percent), "ngram-links")
+    members = store(parts.select("sig", "dig").join(labelled, "dig"), "ngram-members")
+    one = F.xxhash64("dig", F.lit(7)).cast("decimal(20,0)")
+    unsettled = members.groupBy("sig").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.sum(one).alias("all"),
+        F.count(F.lit(1)).alias("n"),
+    ).where("low <> high").groupBy("all", "n").agg(F.min("sig").alias("sig"))
+    wanted = store(members.join(unsettled.select("sig"), "sig"), "ngram-open")
+    rows = wanted.join(many.select("dig", "text"), "dig").select(F.col("sig").alias("grp"), "dig", "label", "text")
+    far = store(_searched(_cells(rows), size, percent), "ngram-links")
     return near.unionByName(far)
 
 
