@@ -10,7 +10,8 @@ in both sets. Parts with few shingles say little and are left out, unless a set
 than S of them; then it uses all. Either way two linked sets share a part: nothing is lost.
 
 *Search.* A query merges its short lists and keeps documents that occur often enough to
-still reach the overlap T; those are probed in the long lists by binary search.
+still reach the overlap T; those are probed in the long lists by binary search. The k-way merge
+of the short lists is one stable sort (its runs are the lists), which gives what a heap gives.
 """
 
 import math
@@ -127,28 +128,41 @@ def signatures(shingles: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(found).view(np.int64) if found else np.empty(0, np.int64)
 
 
+def fold(shingles: np.ndarray) -> bytes:
+    """How many shingles fall in each of 256 ranges of the hash; 255 stands for more as well."""
+    ends = np.searchsorted(shingles, np.arange(1, 256, dtype=np.uint64) << np.uint64(56))
+    return np.minimum(np.diff(ends, prepend=0, append=len(shingles)), 255).astype(np.uint8).tobytes()
+
+
+def most_overlap(one: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Upper bounds of the overlap of one folded set with others."""
+    least = np.minimum(one, others).astype(np.int64)
+    return np.where(least == 255, 1 << 40, least).sum(axis=1)
+
+
 def describe(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """(doc_id, n_shingles, dig, sigs) of every row; dig is null for an empty set."""
+    """(doc_id, n_shingles, dig, sigs, fold) of every row; dig is null for an empty set."""
 
     def run(batches):
         for batch in batches:
-            rows = {"doc_id": batch.column("doc_id"), "n_shingles": [], "dig": [], "sigs": []}
+            rows = {"doc_id": batch.column("doc_id"), "n_shingles": [], "dig": [], "sigs": [], "fold": []}
             for text in batch.column("text").to_pylist():
                 shingles = shingle_set(text, size)
                 rows["n_shingles"].append(len(shingles))
                 rows["dig"].append(digest(shingles) if len(shingles) else None)
                 rows["sigs"].append(signatures(shingles, percent))
+                rows["fold"].append(fold(shingles))
             offsets = np.cumsum([0, *map(len, rows["sigs"])])
             flat = np.concatenate([np.empty(0, np.int64), *rows["sigs"]])
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
             yield pa.RecordBatch.from_arrays(
                 [rows["doc_id"].cast(pa.int64()), pa.array(rows["n_shingles"], pa.int64()),
-                 pa.array(rows["dig"], pa.int64()), lists],
-                ["doc_id", "n_shingles", "dig", "sigs"],
+                 pa.array(rows["dig"], pa.int64()), lists, pa.array(rows["fold"], pa.binary())],
+                ["doc_id", "n_shingles", "dig", "sigs", "fold"],
             )
 
     return shipped(docs).select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_shingles long, dig long, sigs array<long>"
+        run, "doc_id long, n_shingles long, dig long, sigs array<long>, fold binary"
     )
 
 
@@ -250,6 +264,52 @@ def shared_parts(described: DataFrame) -> DataFrame:
     return store(rows.join(shared, "sig").distinct(), "ngram-parts")
 
 
+def possible(parts: DataFrame, described: DataFrame, percent: int) -> DataFrame:
+    """(sub, dig, low): of the classes in a part, those that may be linked with another in it.
+
+    Parts with the same classes are looked at once. The bound from the folded sets rules most
+    chance meetings out before any text moves; a part with more than BLOCK classes stays whole.
+    """
+    one = F.xxhash64("dig", F.lit(7)).cast("decimal(20,0)")
+    alike = parts.groupBy("sig").agg(F.sum(one).alias("all"), F.count(F.lit(1)).alias("n"))
+    lists = store(
+        parts.join(alike.groupBy("all", "n").agg(F.min("sig").alias("sig")).select("sig", "n"), "sig"),
+        "ngram-lists",
+    )
+    short = lists.where(F.col("n") <= BLOCK)
+    bins = max(1, -(-short.count() // (16 * BLOCK)))
+    folds = described.groupBy("dig").agg(
+        F.first("n_shingles").alias("size"), F.first("fold").alias("fold")
+    )
+
+    def run(block: pd.DataFrame) -> pd.DataFrame:
+        block = block.sort_values(["sig", "dig"], kind="stable")
+        sigs, digs, sizes = (block[c].to_numpy() for c in ("sig", "dig", "size"))
+        folds = np.frombuffer(b"".join(block["fold"]), np.uint8).reshape(-1, 256)
+        found = []
+        for at in np.split(np.arange(len(sigs)), np.flatnonzero(np.diff(sigs)) + 1):
+            union = _Union(at.tolist())
+            for i in range(len(at) - 1):
+                if union.sets == 1:
+                    break
+                rest = at[i + 1 :]
+                bound = np.minimum(most_overlap(folds[at[i]], folds[rest]), np.minimum(sizes[rest], sizes[at[i]]))
+                near = 100 * bound >= percent * (sizes[rest] + sizes[at[i]] - bound)
+                for j in np.flatnonzero(near):
+                    union.join(i, i + 1 + int(j))
+            roots = [union.find(i) for i in range(len(at))]
+            for i, root in enumerate(roots):
+                if roots.count(root) > 1 if len(at) > 2 else union.sets == 1:
+                    found.append((int(sigs[at[i]]) ^ int(digs[at[root]]), int(digs[at[i]]), int(digs[at[root]])))
+        return pd.DataFrame(found, columns=["sub", "dig", "low"], dtype="int64")
+
+    cell = F.pmod(F.xxhash64("sig"), F.lit(bins)).alias("cell")
+    rows = shipped(short).join(folds, "dig").select(cell, "sig", "dig", "size", "fold")
+    kept = rows.groupBy("cell").applyInPandas(run, "sub long, dig long, low long")
+    whole = lists.where(F.col("n") > BLOCK).select(F.col("sig").alias("sub"), "dig", "low")
+    return store(kept.unionByName(whole), "ngram-possible")
+
+
 def _cells(members: DataFrame) -> DataFrame:
     """Deal (grp, dig, label, text) to blocks for the search, whatever the size of a group.
 
@@ -293,7 +353,7 @@ def _cells(members: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame, described: DataFrame, size: int, percent: int) -> DataFrame:
     """Links (a, b) between classes, enough to span every component of the join."""
-    parts = shared_parts(described)
+    parts = possible(shared_parts(described), described, percent)
     edges = parts.where("dig <> low").select(F.col("dig").alias("a"), F.col("low").alias("b"))
     grouped = components(edges, "ngram-groups").select(F.col("node").alias("dig"), F.col("root").alias("grp"))
     grouped = store(grouped, "ngram-candidates")
@@ -330,7 +390,7 @@ def links(docs: DataFrame, described: DataFrame, size: int, percent: int) -> Dat
             "dig", F.coalesce("root", "dig").alias("label")
         ), "ngram-labels",
     )
-    members = store(parts.select("sig", "dig").join(labelled, "dig"), "ngram-members")
+    members = store(parts.select(F.col("sub").alias("sig"), "dig").join(labelled, "dig"), "ngram-members")
     one = F.xxhash64("dig", F.lit(7)).cast("decimal(20,0)")
     unsettled = members.groupBy("sig").agg(
         F.min("label").alias("low"), F.max("label").alias("high"), F.sum(one).alias("all"),
