@@ -23,6 +23,29 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_components(common.read(spark, sf_dir, "documents"), size=3, percent=90)
 
 
+ORACLES["op1_ngram_jaccard_join"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents),
+n AS (
+  SELECT doc_id, g, len(g) AS n FROM (SELECT doc_id, CASE
+    WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]))
+    END AS g FROM w)),
+t AS (SELECT doc_id, n, unnest(g) AS g FROM n),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM t a JOIN t b ON a.g = b.g AND a.doc_id < b.doc_id
+  WHERE 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+e AS (SELECT a, b FROM p UNION SELECT b, a FROM p),
+r AS (SELECT doc_id AS x, doc_id AS y FROM n UNION SELECT r.x, e.b FROM r JOIN e ON r.y = e.a)
+SELECT n.doc_id, n.n AS n_shingles, min(r.y) AS component_id
+FROM n JOIN r ON r.x = n.doc_id GROUP BY n.doc_id, n.n
+"""
+
+
 @query
 def op2_concatenate_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(common.read(spark, sf_dir, "documents"))
@@ -75,6 +98,15 @@ def op4_merkle_fixity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixity.audit(original, replica).select(F.col("record_id").alias("page_id"), "fault")
 
 
+ORACLES["op4_merkle_fixity_audit"] = """
+WITH p AS (
+  SELECT page_id, ('0x' || substr(md5(coalesce(url, '')), 1, 6))::BIGINT AS sign FROM pages)
+SELECT page_id, 'missing' AS fault FROM p WHERE sign % 67 = 1
+UNION ALL SELECT page_id, 'changed' FROM p WHERE sign % 67 <> 1 AND sign % 61 = 0
+UNION ALL SELECT page_id, 'stray' FROM p WHERE sign % 71 = 2
+"""
+
+
 @query
 def op5_delta_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rollup = token_rollup.Rollup(spark, shared_dir(spark, "rollup"))

@@ -26,6 +26,8 @@ TERMS = 4096
 LEAST = 3
 FACTORS = 8
 EPOCHS = 12
+#: Updates at least, so that a small sample is gone through more often.
+STEPS = 400
 BATCH = 256
 RATE = 0.1
 DECAY = 1e-5
@@ -71,7 +73,7 @@ def fit(rows: list[list[int]], labels: np.ndarray, size: int, seed: int = 7):
     bias, weights = 0.0, np.zeros(size)
     vectors = rng.normal(0, 0.01, (size, FACTORS))
     past_b, past_w, past_v = 1e-8, np.full(size, 1e-8), np.full((size, FACTORS), 1e-8)
-    for _ in range(EPOCHS):
+    for _ in range(max(EPOCHS, -(-STEPS * BATCH // max(1, len(rows))) if rows else 0)):
         order = rng.permutation(len(rows))
         for at in range(0, len(order), BATCH):
             pick = order[at : at + BATCH]
