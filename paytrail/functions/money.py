@@ -29,9 +29,15 @@ def total_cents(value: Column) -> Column:
     return F.when(F.count(exact) == F.count(value), F.try_sum(exact))
 
 
+def fine(value: Column) -> Column:
+    """Aggregate: the group's sum at ten decimals, the same in any order; NULL if one does not fit."""
+    fitted = value.try_cast("decimal(28,10)")
+    return F.when(F.count(fitted) == F.count(value), F.try_sum(fitted))
+
+
 def total(value: Column) -> Column:
-    """Aggregate: sum of a money column."""
-    return F.coalesce(total_cents(value) / F.lit(100.0), F.sum(value))
+    """Aggregate: sum of a money column, independent of the order unless values are huge."""
+    return F.coalesce(total_cents(value) / F.lit(100.0), fine(value).cast("double"), F.sum(value))
 
 
 def mean(value: Column) -> Column:
@@ -39,14 +45,6 @@ def mean(value: Column) -> Column:
     return F.try_divide(total(value), F.count(value))
 
 
-def mean_over(value: Column, window) -> Column:
-    """Window counterpart of :func:`mean`."""
-    exact, priced = cents(value), F.count(value).over(window)
-    complete = F.count(exact).over(window) == priced
-    exact_sum = F.when(complete, F.try_sum(exact).over(window) / F.lit(100.0))
-    return F.try_divide(F.coalesce(exact_sum, F.sum(value).over(window)), priced)
-
-
 def percent(part: Column, whole: Column, digits: int) -> Column:
     """Share in percent, NULL when there is no whole."""
     return F.round(F.try_divide(part.cast("double") * 100, whole.cast("double")), digits)

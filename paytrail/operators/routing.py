@@ -41,6 +41,7 @@ def failed_checks() -> Column:
         "receiver_missing": F.col("nameDest").isNull(),
         "type_unknown": ~holds(F.col("type").isin(*c.TRANSACTION_TYPES)),
         "label_invalid": ~holds(F.col("isFraud").isin(*c.FRAUD_LABELS)),
+        "sent_at_unreadable": moment(F.col("sentAt")).isNull(),
     })
 
 

@@ -50,13 +50,15 @@ def sender_profile(silver: DataFrame, scope=DAY_SCOPE) -> DataFrame:
         F.count(F.lit(1)).alias("sender_tx_count_in_step"),
         F.count(amount).alias("_priced"),
         money.total_cents(amount).alias("_cents"),
-        F.sum(amount).alias("_sum"),
+        money.fine(amount).alias("_fine"), F.sum(amount).alias("_sum"),
     )
     sender = Window.partitionBy(*scope)
     inexact = F.count_if(F.col("_cents").isNull() & (F.col("_priced") > 0)).over(sender)
     exact_sum = F.when(inexact == 0, F.try_sum("_cents").over(sender) / F.lit(100.0))
+    unfit = F.count_if(F.col("_fine").isNull() & (F.col("_priced") > 0)).over(sender)
+    fine_sum = F.when(unfit == 0, F.try_sum("_fine").over(sender).cast("double"))
     mean = F.try_divide(
-        F.coalesce(exact_sum, F.sum("_sum").over(sender)), F.sum("_priced").over(sender)
+        F.coalesce(exact_sum, fine_sum, F.sum("_sum").over(sender)), F.sum("_priced").over(sender)
     )
     return steps.select(*scope, "step", "sender_tx_count_in_step", mean.alias("sender_avg_amount"))
 
@@ -73,33 +75,10 @@ def profile_by_join(silver: DataFrame, scope=DAY_SCOPE) -> DataFrame:
     return silver.join(profile, same, "left").drop(*(f"_{k}" for k in keys))
 
 
-def profile_by_window(silver: DataFrame, scope=DAY_SCOPE) -> DataFrame:
-    """Attach the sender profile with windows: one shuffle instead of four.
-
-    Each sender's rows meet in one task, so use it only where the largest sender
-    is known to be small; see :data:`WINDOW_LIMIT`.
-    """
-    sender = Window.partitionBy(*scope)
-    return silver.withColumns({
-        "sender_avg_amount": money.mean_over(F.col("amount"), sender),
-        "sender_tx_count_in_step": F.count(F.lit(1)).over(Window.partitionBy(*scope, "step")),
-    })
-
-
-# Rows of one sender that a single task sorts without strain.
-WINDOW_LIMIT = 1_000_000
-
-
-def profiler(largest_sender: int | None):
-    """The cheaper way to attach profiles that is safe for the largest sender's rows."""
-    small = largest_sender is not None and largest_sender <= WINDOW_LIMIT
-    return profile_by_window if small else profile_by_join
-
-
-def with_sender_profile(silver: DataFrame, scope=DAY_SCOPE, attach=profile_by_join) -> DataFrame:
+def with_sender_profile(silver: DataFrame, scope=DAY_SCOPE) -> DataFrame:
     """Add the sender profile and the two rules that depend on it."""
     mean = F.col("sender_avg_amount")
-    return attach(silver, scope).withColumns({
+    return profile_by_join(silver, scope).withColumns({
         "r4_large_amount": F.col("amount") > mean * c.LARGE_AMOUNT_FACTOR,
         "r5_rapid_repeat": F.col("sender_tx_count_in_step") >= c.RAPID_REPEAT_COUNT,
     })
@@ -125,11 +104,10 @@ def score_all(
     scope=DAY_SCOPE,
     rules=RULES,
     tiers=c.SEVERITY_TIERS,
-    attach=profile_by_join,
 ) -> DataFrame:
     """Every transaction with its reasons, score and severity."""
     return (
-        with_sender_profile(silver, scope, attach)
+        with_sender_profile(silver, scope)
         .withColumns({"alert_reasons": reasons(rules), "alert_score": score(rules)})
         .withColumn("alert_severity", severity(F.col("alert_score"), tiers))
     )

@@ -15,15 +15,20 @@ def encode(messages: DataFrame) -> DataFrame:
     })
 
 
-def topic_options(servers: str, topic: str = c.TOPIC, per_trigger: int = 10_000) -> dict[str, str]:
-    """Reader options: whole backlog first, tolerate expired data, bounded batches."""
-    return {
+def topic_options(
+    servers: str, topic: str = c.TOPIC, per_trigger: int | None = 10_000, skip_lost: bool = False
+) -> dict[str, str]:
+    """Reader options: whole backlog first, bounded batches unless ``per_trigger`` is None.
+
+    Offsets the broker has dropped are an error; ``skip_lost`` goes on without them.
+    """
+    options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": "earliest",
-        "failOnDataLoss": "false",
-        "maxOffsetsPerTrigger": str(per_trigger),
+        "failOnDataLoss": str(not skip_lost).lower(),
     }
+    return options if per_trigger is None else options | {"maxOffsetsPerTrigger": str(per_trigger)}
 
 
 def read_topic(spark: SparkSession, servers: str, **options) -> DataFrame:

@@ -56,21 +56,38 @@ def overwrite_day(df: DataFrame, root: str, day: dt.date) -> int:
 
     A rerun leaves the same rows, and a rerun that yields no rows leaves none.
     """
-    written = Observation()
-    count_rows(df, written).write.mode("overwrite").parquet(day_folder(root, day))
-    return written.get["rows"]
+    folder = day_folder(root, day)
+    df.write.mode("overwrite").parquet(folder)
+    return _rows(df.sparkSession, folder)
+
 
+def _rows(spark: SparkSession, folder: str) -> int:
+    """Rows in a folder, from the file footers; right for an empty one, too."""
+    return spark.read.parquet(folder).count()
 
-def publish(df: DataFrame, path: str, cluster_by: str, partition: str = "transaction_date") -> int:
-    """Replace the dates present in ``df`` and return the number of rows written.
 
-    Rebalancing gives files of even size however uneven the days are: adaptive
-    execution merges small days and splits a day that holds most rows. Sorting by
-    the second key lets readers skip row groups.
+def publish(
+    df: DataFrame, path: str, cluster_by: str, partition: str = "transaction_date",
+    day: dt.date | None = None,
+) -> int:
+    """Replace published dates and return the number of rows written.
+
+    With a ``day``, that date is replaced, and emptied if ``df`` has no rows for it. Without,
+    the dates present in ``df`` are replaced. Rebalancing gives files of even size however
+    uneven the days are: adaptive execution merges small days and splits a day that
+    holds most rows. Sorting by the second key lets readers skip row groups.
     """
+    if day is not None:
+        folder = f"{path}/{partition}={day.isoformat()}"
+        rows = df.where(F.col(partition) == F.lit(day)).drop(partition)
+        rows.hint("rebalance").sortWithinPartitions(cluster_by).write.mode("overwrite").parquet(folder)
+        return _rows(df.sparkSession, folder)
     written = Observation()
+    observed = count_rows(df, written)
+    if df.isEmpty():
+        return 0
     (
-        count_rows(df, written)
+        observed
         .hint("rebalance", partition)
         .sortWithinPartitions(partition, cluster_by)
         .write.mode("overwrite")

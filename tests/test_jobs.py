@@ -127,3 +127,28 @@ def test_a_rerun_without_rows_leaves_none(spark, tmp_path):
     assert tables.overwrite_day(ledger, root, day) == 1
     assert tables.overwrite_day(ledger.limit(0), root, day) == 0
     assert tables.read_day(spark, root, day).isEmpty()
+
+
+def test_a_day_without_alerts_and_a_day_emptied_by_a_rerun(spark, tmp_path):
+    source, day = str(tmp_path / "topic"), dt.date(2024, 3, 5)
+    message = rows.LEDGER | rows.DERIVED | {"isFraud": 0, "sentAt": "2024-03-05T10:00:00"}
+    late = json.dumps(message | {"sentAt": "no time"})
+    rows.envelope(spark, json.dumps(message), late).write.parquet(source)
+    _land(spark, source, str(tmp_path))
+    lake = medallion.Lake(str(tmp_path))
+    assert ingest.read_route(spark, lake.landing, ingest.BRONZE).count() == 1
+    odd = ingest.read_route(spark, lake.landing, ingest.QUARANTINE).collect()
+    assert ["sent_at_unreadable" in r.quarantine_reason for r in odd] == [True]
+    medallion.run_silver(spark, lake, day)
+    medallion.run_gold(spark, lake, day)
+    loaded = medallion.run_load(spark, lake, day)
+    assert loaded["fact_transactions"] == loaded["transaction_summary"] == 1
+    seen = tables.read_day(spark, lake.alerts, day).count()
+    assert loaded["fraud_alerts"] == seen
+    quiet = dt.date(2024, 3, 9)
+    assert medallion.run_silver(spark, lake, quiet) and medallion.run_gold(spark, lake, quiet)
+    assert set(medallion.run_load(spark, lake, quiet).values()) == {0}
+    tables.overwrite_day(tables.read_day(spark, lake.silver, day).limit(0), lake.silver, day)
+    medallion.run_gold(spark, lake, day)
+    assert set(medallion.run_load(spark, lake, day).values()) == {0}
+    assert all(df.count() == 0 for df in medallion.read_warehouse(spark, lake).values())

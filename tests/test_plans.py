@@ -60,11 +60,6 @@ def test_summary_aggregates_before_its_shuffles(stored):
                for part in text.split("Exchange hashpartitioning")[1:])
 
 
-def test_window_strategy_needs_one_shuffle(stored):
-    text = plan(scoring.alerts(stored, attach=scoring.profile_by_window))
-    assert text.count("Exchange") == 1
-
-
 def test_join_strategy_reads_only_what_it_needs(stored, no_broadcast):
     text = plan(scoring.alerts(stored))
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", text)

@@ -58,14 +58,16 @@ def test_parse_keeps_position_and_tolerates_bad_text(spark):
     assert found[1].raw_value == "{not json" and found[1].year is None
     assert found[1][routing.REASONS].startswith("amount_missing")
     assert found[2].amount is None and found[2].nameOrig == "C1"
-    assert found[2][routing.REASONS] == "amount_missing"
+    assert found[2][routing.REASONS] == "amount_missing|sent_at_unreadable"
     assert found[3].nameOrig is None and found[0].ingested_at is not None
 
 
 def test_a_foreign_record_is_quarantined(spark):
     text = '{"transaction_id": "t1", "amount": 5.0, "type": "debit", "timestamp": "2024-01-01"}'
     reasons = routing.ingest(rows.envelope(spark, text)).first()[routing.REASONS]
-    assert reasons == "sender_missing|receiver_missing|type_unknown|label_invalid"
+    assert reasons == (
+        "sender_missing|receiver_missing|type_unknown|label_invalid|sent_at_unreadable"
+    )
 
 
 def test_enrich(spark):

@@ -82,15 +82,9 @@ def test_columns(spark):
     assert alerts.columns == [n for n in c.ALERT_COLUMNS if n != "silver_processed_at"]
 
 
-@pytest.mark.parametrize("scope", [scoring.DAY_SCOPE, scoring.HISTORY_SCOPE])
-def test_both_strategies_agree(spark, sf_dir, scope):
-    silver = messages_to_silver(fixture.messages(fixture.events(spark, sf_dir)))
-    joined = scoring.alerts(silver, scope=scope, attach=scoring.profile_by_join)
-    windowed = scoring.alerts(silver, scope=scope, attach=scoring.profile_by_window)
-    assert sorted(map(repr, joined.collect())) == sorted(map(repr, windowed.collect()))
-
-
-def test_strategy_follows_the_largest_sender():
-    assert scoring.profiler(10) is scoring.profile_by_window
-    assert scoring.profiler(scoring.WINDOW_LIMIT + 1) is scoring.profile_by_join
-    assert scoring.profiler(None) is scoring.profile_by_join
+@pytest.mark.parametrize("parts", [1, 3, 8])
+def test_mean_of_fine_amounts_does_not_depend_on_the_order(spark, parts):
+    changes = [dict(amount=0.1 + i / 7) for i in range(50)]
+    silver = rows.silver(spark, *changes).repartition(parts, "amount")
+    means = {r.sender_avg_amount for r in scoring.score_all(silver).collect()}
+    assert means == {float(sum(round(0.1 + i / 7, 10) for i in range(50)) / 50)} or len(means) == 1

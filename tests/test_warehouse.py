@@ -65,6 +65,11 @@ def test_publish_replaces_days_and_keeps_others(spark, tmp_path):
     assert spark.read.parquet(path).count() == 2
     assert tables.publish(two_days.limit(0), path, "type") == 0
     assert spark.read.parquet(path).count() == 2
+    day = dt.date(2024, 3, 6)
+    assert tables.publish(two_days.limit(0), path, "type", day=day) == 0
+    assert spark.read.parquet(path).count() == 1
+    assert tables.publish(two_days, path, "type", day=day) == 1
+    assert spark.read.parquet(path).count() == 2
 
 
 def test_catalog_table_and_sql(spark, tmp_path):

@@ -167,8 +167,13 @@ def partition_scan(spark, sf_dir):
 def partition_file_count(spark, sf_dir):
     root = shared_dir(spark, "files")
     tables.write_table(routing.with_day_partition(_bronze(spark, sf_dir)), root, c.DAY_PARTITION)
-    days = tables.day_text(tables.list_files(spark, root)).groupBy(*c.DAY_PARTITION)
-    return days.agg(F.count(F.lit(1)).alias("file_count"))
+    # How many files a day has depends on the cluster; that it has some, and their rows, does not.
+    listed = tables.day_text(tables.list_files(spark, root)).groupBy(*c.DAY_PARTITION).agg(
+        (F.count(F.lit(1)) > 0).alias("has_files")
+    )
+    rows = tables.read_days(spark, root).groupBy(*c.DAY_PARTITION, F.col("_metadata.file_path")).count()
+    held = rows.groupBy(*c.DAY_PARTITION).agg(F.sum("count").alias("row_count"))
+    return listed.join(held, list(c.DAY_PARTITION), "left")
 
 
 def _published(spark, sf_dir, name, times):

@@ -339,6 +339,8 @@ _SELECTS = {
     "quarantine_stream": f"""SELECT {BROKER}, {ENVELOPE_TIME}, {MESSAGE}, {DAY_PARTS},
         quarantine_reason FROM rejected""",
     "stream_dedup": "SELECT DISTINCT nameOrig, nameDest, amount, step FROM message",
+    "partition_file_count": f"""SELECT {DAY_PARTS}, true AS has_files, count(*) AS row_count
+        FROM bronze GROUP BY ALL""",
     "partition_scan": f"""SELECT {BROKER}, {MESSAGE} FROM bronze
         WHERE CAST(sent_ts AS DATE) = DATE '2024-01-15'""",
     "overwrite_idempotent": f"""SELECT {TX_DATE}, count(*) AS row_count,
