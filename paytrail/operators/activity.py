@@ -101,8 +101,8 @@ def risk_level() -> Column:
     return F.coalesce(*ladder, F.lit(c.RISK_LEVELS[-1]))
 
 
-def account_days(silver: DataFrame, measures: list[Column]) -> DataFrame:
-    """Measures per account and day.
+def account_days(silver: DataFrame, measures: list[Column], names: bool = False) -> DataFrame:
+    """Measures per account and day; ``names`` are needed for ``diversity`` only.
 
     Several distinct counts in one aggregation would copy every row and shuffle
     all measures per distinct name. Instead the distinct names are appended to the
@@ -111,11 +111,9 @@ def account_days(silver: DataFrame, measures: list[Column]) -> DataFrame:
     for the names and combined before the shuffle for the rest.
     """
     rows = silver.withColumn("_tx", F.lit(1))
-    return (
-        rows.unionByName(_names(silver), allowMissingColumns=True)
-        .groupBy(*ACCOUNT_DAY)
-        .agg(*measures)
-    )
+    if names:
+        rows = rows.unionByName(_names(silver), allowMissingColumns=True)
+    return rows.groupBy(*ACCOUNT_DAY).agg(*measures)
 
 
 def summarize(silver: DataFrame) -> DataFrame:
@@ -123,7 +121,7 @@ def summarize(silver: DataFrame) -> DataFrame:
     measures = (
         volume() + balances() + risk_counts() + diversity() + type_counts() + quality_counts()
     )
-    return account_days(silver, measures).withColumn("account_risk_level", risk_level())
+    return account_days(silver, measures, names=True).withColumn("account_risk_level", risk_level())
 
 
 def with_alert_counts(summary: DataFrame, alerts: DataFrame) -> DataFrame:

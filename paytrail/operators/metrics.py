@@ -19,6 +19,13 @@ def silver_columns() -> list[Column]:
     ]
 
 
+def row_counts(read: int, complete: int, kept: int) -> dict[str, int]:
+    """What a Silver run read, dropped as incomplete, and removed as duplicates."""
+    return {
+        "rows_read": read, "incomplete_rows": read - complete, "duplicate_rows": complete - kept,
+    }
+
+
 def silver_metrics(silver: DataFrame) -> DataFrame:
     return silver.agg(*silver_columns())
 

@@ -99,14 +99,19 @@ def files_report(file_count: int) -> Check:
     return Check("files_exist", F.lit(file_count), lambda m, d: ladder((m >= 1, PASSED)))
 
 
+def absent(df: DataFrame, layer: str) -> DataFrame:
+    """The report of a layer without files; no row of ``df`` is looked at."""
+    missing = Check("files_exist", F.lit(0), lambda m, d: F.lit(FAILED))
+    return report(df.limit(0), layer, [missing])
+
+
 def check_bronze(bronze: DataFrame, file_count: int | None = None) -> DataFrame:
     """File, row, column, NULL-rate, type and label checks of raw messages.
 
     With no file at all, that failure is the whole report.
     """
     if file_count == 0:
-        missing = Check("files_exist", F.lit(0), lambda m, d: F.lit(FAILED))
-        return report(bronze.limit(0), "bronze", [missing])
+        return absent(bronze, "bronze")
 
     checks = [] if file_count is None else [files_report(file_count)]
     checks += [_row_count(), _columns_check(bronze, BRONZE_REQUIRED)]
@@ -123,6 +128,10 @@ def check_bronze(bronze: DataFrame, file_count: int | None = None) -> DataFrame:
             _rate(~holds(F.col("type").isin(*c.TRANSACTION_TYPES))),
             lambda m, d: ladder((m < UNKNOWN_TYPE_LIMIT, PASSED)),
         ))
+        checks.append(Check(
+            "type_distribution", F.count("type"), lambda m, d: F.lit(INFO),
+            _tally("type", c.TRANSACTION_TYPES),
+        ))
     if "isFraud" in bronze.columns:
         valid = holds(F.col("isFraud").isin(*c.FRAUD_LABELS))
         checks.append(Check(

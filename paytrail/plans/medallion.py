@@ -3,6 +3,7 @@
 import datetime as dt
 import logging
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -16,18 +17,26 @@ from paytrail.streaming.ingest import BRONZE, read_route
 log = logging.getLogger(__name__)
 
 
-def to_silver(bronze: DataFrame, mismatch_types=None) -> DataFrame:
-    """Clean, flag and deduplicate messages. One shuffle, for the duplicates."""
+def to_complete(bronze: DataFrame, mismatch_types=None) -> DataFrame:
+    """Clean and flag messages and drop those without a key. No shuffle."""
     return (
         bronze.transform(cleaning.cast_types)
         .transform(cleaning.standardize_time)
         .transform(cleaning.flag_quality, mismatch_types)
         .transform(cleaning.drop_incomplete)
-        .transform(cleaning.fill_missing)
-        .transform(cleaning.latest_only)
     )
 
 
+def to_latest(complete: DataFrame) -> DataFrame:
+    """Fill gaps and keep the latest copy. One shuffle, for the duplicates."""
+    return complete.transform(cleaning.fill_missing).transform(cleaning.latest_only)
+
+
+def to_silver(bronze: DataFrame, mismatch_types=None) -> DataFrame:
+    """Clean, flag and deduplicate messages."""
+    return to_latest(to_complete(bronze, mismatch_types))
+
+
 def messages_to_silver(messages: DataFrame) -> DataFrame:
     """Silver straight from enriched messages: keep the valid ones and clean them."""
     return to_silver(routing.valid(routing.judge(messages)))
@@ -75,12 +84,17 @@ class Lake:
 
 def run_silver(spark: SparkSession, lake: Lake, day: dt.date) -> dict:
     """Bronze to Silver for one day. Metrics are observed during the write."""
-    bronze = read_route(spark, lake.landing, BRONZE).where(day_filter(day))
-    silver = to_silver(bronze.drop(*c.DAY_PARTITION))
-    seen = Observation()
-    stamped = silver.withColumn("silver_processed_at", F.current_timestamp())
+    bronze = read_route(spark, lake.landing, BRONZE).where(day_filter(day)).drop(*c.DAY_PARTITION)
+    read, complete, seen = Observation(), Observation(), Observation()
+    counted = metrics.count_rows(to_complete(metrics.count_rows(bronze, read)), complete)
+    stamped = to_latest(counted).withColumn("silver_processed_at", F.current_timestamp())
     rows = tables.overwrite_day(stamped.observe(seen, *metrics.silver_columns()), lake.silver, day)
-    return _seen(spark, seen, rows, lake.silver, day, metrics.silver_columns())
+    if rows:
+        counts = read.get["rows"], complete.get["rows"]
+    else:
+        counts = bronze.count(), to_complete(bronze).count()
+    found = _seen(spark, seen, rows, lake.silver, day, metrics.silver_columns())
+    return found | metrics.row_counts(*counts, rows)
 
 
 def _seen(spark, seen: Observation, rows: int, root: str, day: dt.date, columns) -> dict:
@@ -157,7 +171,10 @@ def run_day(
 
 
 def run_quality(spark: SparkSession, lake: Lake, day: dt.date, only=None) -> DataFrame:
-    """Quality report of one day, for all layers or the chosen ones."""
+    """Quality report of one day, for all layers or the chosen ones.
+
+    A layer without files for the day gets one failed row. ``quality.verdict`` sums a report up.
+    """
     on_day = F.col("transaction_date") == F.lit(day)
 
     def silver() -> DataFrame:
@@ -177,9 +194,19 @@ def run_quality(spark: SparkSession, lake: Lake, day: dt.date, only=None) -> Dat
         published = {n: df.where(on_day) for n, df in read_warehouse(spark, lake).items()}
         return quality.check_warehouse(silver(), published)
 
-    return quality.run_checks({
-        "bronze": bronze_report,
-        "silver": lambda: quality.check_silver(silver()),
-        "gold": gold_report,
-        "warehouse": warehouse_report,
-    }, only)
+    silver_day = day_folder(lake.silver, day)
+    layers = {
+        "bronze": (bronze_report, [day_folder(lake.bronze, day)]),
+        "silver": (lambda: quality.check_silver(silver()), [silver_day]),
+        "gold": (gold_report, [day_folder(lake.alerts, day), day_folder(lake.summary, day)]),
+        "warehouse": (warehouse_report, [silver_day, *map(lake.warehouse, c.WAREHOUSE_TABLES)]),
+    }
+
+    def checked(name, build, folders) -> DataFrame:
+        if all(tables.count_files(spark, folder) for folder in folders):
+            return build()
+        return quality.absent(spark.range(1), name)
+
+    return quality.run_checks(
+        {name: partial(checked, name, *layer) for name, layer in layers.items()}, only
+    )

@@ -13,17 +13,16 @@ log = logging.getLogger(__name__)
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """Read a ledger with header. Values that do not fit their type become NULL.
 
-    A column missing from the file is reported and left out; later checks and the
-    quarantine decide what that means.
+    A column missing from the file is reported and NULL, so that its rows are quarantined with
+    a reason. Several files must agree on their header; one that differs is an error.
     """
-    text = spark.read.option("header", True).csv(path)
+    text = spark.read.option("header", True).option("enforceSchema", False).csv(path)
     missing = [name for name in c.LEDGER_SCHEMA.names if name not in text.columns]
     if missing:
         log.warning("ledger columns not found: %s", ", ".join(missing))
     typed = {
-        f.name: F.col(f.name).try_cast(f.dataType)
+        f.name: (F.lit(None) if f.name in missing else F.col(f.name)).try_cast(f.dataType)
         for f in c.LEDGER_SCHEMA.fields
-        if f.name in text.columns
     }
     return text.withColumns(typed)
 

@@ -1,9 +1,13 @@
 import csv
 import logging
 
+import pytest
+from pyspark.sql import functions as F
+
 import rows
 from paytrail import contract as c
 from paytrail.operators import routing
+from paytrail.operators.enrich import enrich
 from paytrail.sources import broker, ledger_file
 
 
@@ -30,7 +34,17 @@ def test_missing_ledger_column_is_reported(spark, tmp_path, caplog):
     path = _write(tmp_path / "ledger.csv", ["step", "type"], [1, "PAYMENT"])
     with caplog.at_level(logging.WARNING):
         ledger = ledger_file.read_ledger(spark, path)
-    assert ledger.columns == ["step", "type"] and "isFlaggedFraud" in caplog.text
+    assert set(ledger.columns) == set(c.LEDGER_SCHEMA.names) and "isFlaggedFraud" in caplog.text
+    row = enrich(ledger, F.current_timestamp()).first()
+    assert (row.step, row.type, row.amount, row.isSuspicious) == (1, "PAYMENT", None, False)
+
+
+def test_files_with_another_header_are_refused(spark, tmp_path):
+    names = c.LEDGER_SCHEMA.names
+    _write(tmp_path / "a.csv", names, [1] * len(names))
+    _write(tmp_path / "b.csv", names[::-1], [1] * len(names))
+    with pytest.raises(Exception, match="header"):
+        ledger_file.read_ledger(spark, str(tmp_path)).collect()
 
 
 def test_slice(spark):

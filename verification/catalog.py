@@ -375,8 +375,8 @@ def gold_metrics(spark, sf_dir):
 # --- Gold: account days ----------------------------------------------------
 
 
-def _account_days(spark, sf_dir, *measures):
-    return activity.account_days(_silver(spark, sf_dir), measures)
+def _account_days(spark, sf_dir, *measures, names=False):
+    return activity.account_days(_silver(spark, sf_dir), measures, names)
 
 
 @query
@@ -397,7 +397,7 @@ def summary_risk(spark, sf_dir):
 
 @query
 def summary_diversity(spark, sf_dir):
-    return _account_days(spark, sf_dir, *activity.diversity())
+    return _account_days(spark, sf_dir, *activity.diversity(), names=True)
 
 
 @query
@@ -522,6 +522,34 @@ def reconcile(spark, sf_dir):
     return quality.reconcile(_silver(spark, sf_dir), _table(spark, sf_dir, views.FACT))
 
 
+def _lake(spark, sf_dir, purpose):
+    """All messages landed by the stream, and the folder layout around them."""
+    return medallion.Lake(_ingested(spark, sf_dir, purpose).removesuffix("/landing"))
+
+
+@query
+def job_day(spark, sf_dir):
+    """The daily jobs over one day, twice; each table holds the day's rows once."""
+    lake = _lake(spark, sf_dir, "job")
+    for _ in range(2):
+        medallion.run_day(spark, lake, SCAN_DAY)
+    return quality.table_counts(medallion.read_warehouse(spark, lake))
+
+
+@query
+def silver_job_metrics(spark, sf_dir):
+    seen = medallion.run_silver(spark, _lake(spark, sf_dir, "silver-job"), SCAN_DAY)
+    return spark.createDataFrame([seen])
+
+
+@query
+def dq_absent_day(spark, sf_dir):
+    """Quality run of a day that only Silver has been made for."""
+    lake = _lake(spark, sf_dir, "absent")
+    medallion.run_silver(spark, lake, SCAN_DAY)
+    return medallion.run_quality(spark, lake, SCAN_DAY, ["silver", "gold", "warehouse"])
+
+
 @query
 def dq_report(spark, sf_dir):
     rows = _silver(spark, sf_dir)

@@ -287,6 +287,8 @@ BRONZE_CHECKS = [
           share("coalesce(type, '') NOT IN "
                 "('CASH_IN', 'CASH_OUT', 'DEBIT', 'PAYMENT', 'TRANSFER')"),
           graded("< 1 -> passed"), "message"),
+    check("bronze", "type_distribution", "count(type)", "'info'", "message",
+          tally("type", ("CASH_IN", "CASH_OUT", "DEBIT", "PAYMENT", "TRANSFER"))),
     check("bronze", "invalid_labels", n_if("coalesce(isFraud, -1) NOT IN (0, 1)"),
           graded("= 0 -> passed"), "message"),
 ]
@@ -322,6 +324,13 @@ WAREHOUSE_CHECKS = [
 ]
 
 
+ON_DAY = "tx_date = DATE '2024-01-15'"
+DAY_CHECKS = [
+    *(sql.replace("FROM silver)", f"FROM silver WHERE {ON_DAY})") for sql in SILVER_CHECKS),
+    *(check(layer, "files_exist", "0", "'failed'", "(SELECT 1)") for layer in ("gold", "warehouse")),
+]
+
+
 def union(parts) -> str:
     return " UNION ALL ".join(parts)
 
@@ -563,6 +572,20 @@ _SELECTS = {
     ),
     "reconcile": f"""SELECT {TX_DATE}, count(*) AS silver_rows, count(*) AS fact_rows,
         'passed' AS status FROM silver GROUP BY tx_date""",
+    "job_day": union(
+        f"SELECT '{name}' AS table_name, {TX_DATE}, count(*) AS row_count FROM {source} "
+        f"WHERE {ON_DAY} GROUP BY tx_date"
+        for name, source in TABLES.items()
+    ),
+    "silver_job_metrics": f"""SELECT count(*) AS total_rows, {n_if('dq_is_clean')} AS clean_rows,
+        {pct(n_if('dq_is_clean'), 'count(*)', 1)} AS clean_pct,
+        {n_if('isFraud = 1')} AS fraud_rows, {n_if('dq_balance_mismatch')} AS mismatch_rows,
+        {n_if('dq_suspicious_zero_bal')} AS zero_balance_rows,
+        (SELECT count(*) FROM bronze WHERE CAST(sent_ts AS DATE) = DATE '2024-01-15') AS rows_read,
+        0::BIGINT AS incomplete_rows,
+        (SELECT count(*) FROM bronze WHERE CAST(sent_ts AS DATE) = DATE '2024-01-15') - count(*)
+        AS duplicate_rows FROM silver WHERE {ON_DAY}""",
+    "dq_absent_day": union(DAY_CHECKS),
     "dq_report": f"""SELECT passed, warnings, failed, CASE WHEN failed > 0 THEN 'failures'
         WHEN warnings > 0 THEN 'warnings' ELSE 'all clear' END AS verdict FROM (SELECT
         {n_if("status = 'passed'")} AS passed, {n_if("status = 'warning'")} AS warnings,
