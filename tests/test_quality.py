@@ -13,7 +13,7 @@ def _statuses(report):
 
 def test_bronze(spark):
     good = _statuses(quality.check_bronze(rows.messages(spark, {}, {}), 3))
-    assert set(good.values()) == {"passed"} and "files_exist" in good
+    assert set(good.values()) == {"passed", "info"} and "files_exist" in good
 
     changes = [{}] * 97 + [dict(amount=None, isFraud=None, type="GIFT")] * 3
     bad = _statuses(quality.check_bronze(rows.messages(spark, *changes).drop("sentAt")))

@@ -76,4 +76,5 @@ def test_messages_survive_encoding(spark):
 def test_topic_options():
     options = broker.topic_options("host:9092", per_trigger=5)
     assert options["subscribe"] == "transactions" and options["maxOffsetsPerTrigger"] == "5"
-    assert options["startingOffsets"] == "earliest" and options["failOnDataLoss"] == "false"
+    assert options["startingOffsets"] == "earliest" and options["failOnDataLoss"] == "true"
+    assert broker.topic_options("host:9092", skip_lost=True)["failOnDataLoss"] == "false"
