@@ -37,6 +37,14 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def store(df: DataFrame, purpose: str) -> DataFrame:
     """Write to the folder all executors share and read back: cuts lineage, survives lost executors.
 

@@ -10,10 +10,10 @@ from functools import lru_cache
 
 import ahocorasick
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paytrail.llm.common import shipped
+from paytrail.llm.common import running, shipped, store
 
 #: Edits allowed, in hundredths of an item's characters.
 ERROR_PERCENT = 6
@@ -111,12 +111,19 @@ def search(text: str | None, items: tuple[tuple[int, str], ...]) -> list[tuple[i
 
 
 def blocks(items: DataFrame) -> list[tuple[tuple[int, str], ...]]:
-    """The test items, read in blocks of at most BLOCK_CHARS characters (or one item)."""
+    """The test items, read in blocks of about BLOCK_CHARS characters.
+
+    Prefix sums of the items' lengths deal them to blocks, so no task sees all items; a block
+    exceeds the size by less than one item.
+    """
     sized = items.where("item_id is not null and trim(text) <> ''").select(
         "item_id", "text", F.length("text").alias("n")
     )
-    running = F.sum("n").over(Window.orderBy("item_id", "text").rowsBetween(Window.unboundedPreceding, 0))
-    ids = sized.select("item_id", "text", F.floor(running / BLOCK_CHARS).alias("block"))
+    order = [F.col("item_id"), F.xxhash64("text")]
+    before = running(sized, [], order, F.col("n").cast("long"), "before")
+    ids = store(
+        before.select("item_id", "text", F.floor(F.col("before") / BLOCK_CHARS).alias("block")), "test-items"
+    )
     numbers = [row.block for row in ids.select("block").distinct().orderBy("block").collect()]
     read = []
     for number in numbers:

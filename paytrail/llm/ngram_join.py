@@ -141,11 +141,14 @@ def most_overlap(one: np.ndarray, others: np.ndarray) -> np.ndarray:
 
 
 def describe(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """(doc_id, n_shingles, dig, sigs, fold) of every row; dig is null for an empty set."""
+    """(doc_id, tie, n_shingles, dig, sigs, fold) of every row; dig is null for an empty set.
+
+    tie is a hash of the text: with doc_id it tells rows apart that repeat a doc_id.
+    """
 
     def run(batches):
         for batch in batches:
-            rows = {"doc_id": batch.column("doc_id"), "n_shingles": [], "dig": [], "sigs": [], "fold": []}
+            rows = {"n_shingles": [], "dig": [], "sigs": [], "fold": []}
             for text in batch.column("text").to_pylist():
                 shingles = shingle_set(text, size)
                 rows["n_shingles"].append(len(shingles))
@@ -156,13 +159,14 @@ def describe(docs: DataFrame, size: int, percent: int) -> DataFrame:
             flat = np.concatenate([np.empty(0, np.int64), *rows["sigs"]])
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
             yield pa.RecordBatch.from_arrays(
-                [rows["doc_id"].cast(pa.int64()), pa.array(rows["n_shingles"], pa.int64()),
-                 pa.array(rows["dig"], pa.int64()), lists, pa.array(rows["fold"], pa.binary())],
-                ["doc_id", "n_shingles", "dig", "sigs", "fold"],
+                [batch.column("doc_id").cast(pa.int64()), batch.column("tie"),
+                 pa.array(rows["n_shingles"], pa.int64()), pa.array(rows["dig"], pa.int64()),
+                 lists, pa.array(rows["fold"], pa.binary())],
+                ["doc_id", "tie", "n_shingles", "dig", "sigs", "fold"],
             )
 
-    return shipped(docs).select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_shingles long, dig long, sigs array<long>, fold binary"
+    return shipped(docs).select("doc_id", "text", F.xxhash64("text").alias("tie")).mapInArrow(
+        run, "doc_id long, tie long, n_shingles long, dig long, sigs array<long>, fold binary"
     )
 
 
@@ -402,6 +406,22 @@ def links(docs: DataFrame, described: DataFrame, size: int, percent: int) -> Dat
     return near.unionByName(far)
 
 
+def _rooted(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Linkable rows (doc_id, tie, n_shingles, root of the component), and the other rows."""
+    described = store(describe(docs, size, percent), "ngram-sets")
+    named = described.where("dig is not null and doc_id is not null")
+    linked = store(
+        components(links(docs, named, size, percent), "ngram-components").select(
+            F.col("node").alias("dig"), "root"
+        ), "ngram-classes",
+    )
+    rows = named.select("doc_id", "tie", "n_shingles", "dig").join(linked, "dig", "left").select(
+        "doc_id", "tie", "n_shingles", F.coalesce("root", "dig").alias("root")
+    )
+    alone = described.where("dig is null or doc_id is null").select("doc_id", "tie", "n_shingles")
+    return store(rows, "ngram-rows"), alone
+
+
 def join_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """Rows (doc_id, n_shingles, component_id) for each row of ``docs`` (doc_id, text).
 
@@ -411,37 +431,32 @@ def join_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     text or doc_id is linked with nothing and is its own component (null for a null
     doc_id). Repeated rows stay and share their component; an empty table gives no rows.
     """
-    described = store(describe(docs, size, percent), "ngram-sets")
-    named = described.where("dig is not null and doc_id is not null")
-    linked = store(
-        components(links(docs, named, size, percent), "ngram-components").select(
-            F.col("node").alias("dig"), "root"
-        ), "ngram-classes",
-    )
-    rows = named.select("doc_id", "n_shingles", "dig").join(linked, "dig", "left").select(
-        "doc_id", "n_shingles", F.coalesce("root", "dig").alias("root")
-    )
-    rows = store(rows, "ngram-rows")
+    rows, alone = _rooted(docs, size, percent)
     # Stored, so that the join below deals both sides anew and a large component can be split.
     lowest = store(rows.groupBy("root").agg(F.min("doc_id").alias("component_id")), "ngram-lowest")
-    alone = described.where("dig is null or doc_id is null").select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id")
-    )
+    alone = alone.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return rows.join(lowest, "root").select("doc_id", "n_shingles", "component_id").unionByName(alone)
 
 
 def keep_first(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One document of each component stays: the one with the smallest doc_id.
 
-    Of rows that repeat a doc_id the one with the smallest text hash stays; rows
-    without a doc_id stay.
+    Rows that repeat a doc_id with texts that are not linked are different documents and all
+    stay. Rows equal in doc_id and text are one document; the one whose other columns
+    have the smallest hash stays. Rows without a doc_id stay.
     """
     named = docs.where("doc_id is not null")
-    kept = store(
-        join_components(named, size, percent).where("doc_id = component_id")
-        .select("doc_id").distinct(), "ngram-kept",
-    )
-    chosen = named.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(
-        F.min_by(F.struct(*docs.columns), F.xxhash64("text")).alias("row")
+    rows, alone = _rooted(named, size, percent)
+    first = rows.groupBy("root").agg(F.min(F.struct("doc_id", "tie")).alias("f")).select("f.*")
+    kept = store(first.unionByName(alone.select("doc_id", "tie")).distinct(), "ngram-kept").alias("k")
+    other = [f.name for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    tied = named.select(
+        F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("tie"),
+        F.struct(*docs.columns).alias("row"),
+    ).alias("d")
+    same = (F.col("d.id") == F.col("k.doc_id")) & (F.col("d.tie") == F.col("k.tie"))
+    order = F.xxhash64(*(F.col(f"row.`{name}`") for name in other))
+    chosen = tied.join(kept, same, "left_semi").groupBy("id", "tie").agg(
+        F.min_by("row", order).alias("row")
     )
     return chosen.select("row.*").unionByName(docs.where("doc_id is null"))

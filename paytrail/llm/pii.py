@@ -9,6 +9,8 @@ pseudonyms in every document and different values different ones. The permutatio
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paytrail.llm.common import unused
+
 ROUNDS = 8
 #: Default key, for demonstrations only: pass your own.
 KEY = "paytrail"
@@ -291,17 +293,18 @@ def pseudonymize(docs: DataFrame, key: str = KEY) -> DataFrame:
     found = F.when(some, F.regexp_extract_all(text, pattern, F.lit(0))).otherwise(
         F.array().cast("array<string>")
     )
-    marked = docs.withColumn("_new", _pseudonyms(found, key))
+    name = unused(docs, "_new")
+    marked = docs.withColumn(name, _pseudonyms(found, key))
     gaps = F.split(text, _pattern(), -1)
-    new = F.transform("_new", lambda p: F.coalesce(p["is"], p["was"]))
+    new = F.transform(name, lambda p: F.coalesce(p["is"], p["was"]))
     joined = F.array_join(
         F.zip_with(gaps, F.concat(new, F.array(F.lit(""))), lambda gap, p: F.concat(gap, p)), ""
     )
-    changed = F.size("_new") > 0
+    changed = F.size(name) > 0
     return marked.withColumns({
         "text": F.when(changed, joined).otherwise(text),
-        "n_values": F.size(F.filter("_new", lambda p: p["is"].isNotNull())).cast("long"),
-    }).drop("_new")
+        "n_values": F.size(F.filter(name, lambda p: p["is"].isNotNull())).cast("long"),
+    }).drop(name)
 
 
 def mentions(docs: DataFrame, key: str = KEY) -> DataFrame:

@@ -83,7 +83,7 @@ class Rollup:
         attempt = attempt or uuid.uuid4().hex
         summed = changes.groupBy(*DIMENSIONS).agg(*(F.sum(m).alias(m) for m in MEASURES))
         named = summed.withColumns({"batch_id": F.lit(batch_id), "attempt": F.lit(attempt)})
-        named.coalesce(1).write.mode("append").parquet(f"{self.path}/deltas")
+        named.write.mode("append").parquet(f"{self.path}/deltas")
         line = self.spark.range(1).select(
             F.lit(batch_id).alias("batch_id"), F.lit(attempt).alias("attempt"),
             F.unix_micros(F.current_timestamp()).cast("double").alias("at"),

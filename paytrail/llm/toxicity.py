@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paytrail.llm.common import shipped, store
+from paytrail.llm.common import shipped, store, unused
 
 #: Labelled rows used for fitting, at most: those whose doc_id has the smallest hashes.
 SAMPLE = 30_000
@@ -219,5 +219,5 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, with all their columns."""
-    name = "_toxicity"
+    name = unused(docs, "_toxicity")
     return score(docs, train(docs, labels), name).where(F.col(name) < THRESHOLD).drop(name)

@@ -70,6 +70,16 @@ def test_edge_cases(table):
     assert sorted(r.doc_id or -1 for r in kept.collect()) == [-1, 1, 2, 3, 4, 6, 7, 8, 9]
 
 
+def test_different_texts_of_one_id_stay(table):
+    one, two = "a b c d e f g h", "i j k l m n o p"
+    rows = [(1, one, 1), (1, two, 2), (2, two, 3), (1, one, 4), (3, None, 5), (3, "", 6), (3, None, 7)]
+    for clash in ("row", "tie", "root"):
+        kept = nj.keep_first(table(rows, f"doc_id int, text string, {clash} int"))
+        assert kept.columns == ["doc_id", "text", clash]
+        found = sorted((r.doc_id, r.text or "-") for r in kept.collect())
+        assert found == sorted([(1, one), (1, two), (3, "-"), (3, "-")])
+
+
 def test_linked_sets_share_a_part():
     rng = np.random.default_rng(1)
     for n in (9, 20, 57, 200, 1000):

@@ -26,6 +26,9 @@ def test_pair_of_words_decides(table):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in found)
     none = toxicity.classify(docs, table([], "doc_id long, toxic int")).collect()
     assert {round(r.score, 6) for r in none} == {0.5}
+    clash = docs.selectExpr("*", "1 AS _toxicity", "'x' AS score")
+    kept = toxicity.keep_clean(clash, table(marks, "doc_id long, toxic int"))
+    assert kept.columns == clash.columns and {(r._toxicity, r.score) for r in kept.collect()} == {(1, "x")}
 
 
 @pytest.mark.parametrize("groups", [[1] * 97, [30, 5, 5, 3, 2, 2] + [1] * 40, [100], [7] * 20])

@@ -47,7 +47,7 @@ def test_pseudonyms(table):
         "1999-12-31 2024-02-30 31/12/2020 12/31/2020 02.03.1985 123-45-6789 000-12-3456"
     )
     rows = [(1, text), (2, "10.0.0.1, 1999-12-31."), (3, None), (4, ""), (5, "no values"), (5, "1.2 3"), (6, "9" * 60_000)]
-    df = table(rows, "doc_id int, text string").withColumn("n_values", F.lit("clash"))
+    df = table(rows, "doc_id int, text string").withColumns({"n_values": F.lit("clash"), "_new": F.lit(7)})
     new = {(r.doc_id, i): r for i, r in enumerate(pii.pseudonymize(df).orderBy("doc_id", "text").collect())}
     by_id = {r.doc_id: r for r in new.values()}
     one, two = by_id[1].text, by_id[2].text
@@ -59,6 +59,7 @@ def test_pseudonyms(table):
         assert gone not in one
     assert two.split(",")[0] in one and two.rstrip(".").split()[-1] in one
     assert [by_id[i].text for i in (3, 4)] == [None, ""] and by_id[6].text == "9" * 60_000
+    assert {r._new for r in by_id.values()} == {7}
     assert pii.pseudonymize(df.limit(0)).count() == 0 and pii.mentions(df).count() == 12
 
 
