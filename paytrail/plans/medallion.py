@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from paytrail import contract as c
 from paytrail.functions.calendar import day_filter, day_folder
 from paytrail.operators import activity, cleaning, metrics, publishing, quality, routing, scoring
-from paytrail.sources import tables
+from paytrail.sources import catalog, tables
 from paytrail.streaming.ingest import BRONZE, read_route
 
 log = logging.getLogger(__name__)
@@ -125,8 +125,13 @@ def run_gold(spark: SparkSession, lake: Lake, day: dt.date) -> dict:
     return seen
 
 
-def run_load(spark: SparkSession, lake: Lake, day: dt.date) -> dict[str, int]:
-    """Publish one day of the three tables; returns rows loaded per table."""
+def run_load(
+    spark: SparkSession, lake: Lake, day: dt.date, database: str | None = None
+) -> dict[str, int]:
+    """Publish one day of the three tables; returns rows loaded per table.
+
+    With a ``database``, the tables declared there get the day's partition.
+    """
     sources = {
         "fact_transactions": lake.silver,
         "fraud_alerts": lake.alerts,
@@ -142,6 +147,8 @@ def run_load(spark: SparkSession, lake: Lake, day: dt.date) -> dict[str, int]:
         loaded[name] = tables.publish(
             rows, lake.warehouse(name), c.WAREHOUSE_TABLES[name][1], day=day
         )
+        if database:
+            catalog.add_day(spark, f"{database}.{name}", day)
         if not loaded[name]:
             log.warning("no rows for %s on %s", name, day)
     return loaded

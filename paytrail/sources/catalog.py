@@ -1,5 +1,7 @@
 """Warehouse tables and views in the session catalog."""
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 
 from paytrail import contract as c
@@ -16,6 +18,15 @@ def create_table(spark: SparkSession, table: str, location: str) -> None:
     spark.catalog.recoverPartitions(table)
 
 
+def add_day(spark: SparkSession, table: str, day: dt.date) -> None:
+    """Make a published day visible in a declared table; undeclared tables are left alone."""
+    if spark.catalog.tableExists(table):
+        spark.sql(
+            f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION (transaction_date = DATE '{day.isoformat()}')"
+        )
+        spark.catalog.refreshTable(table)
+
+
 def run_sql(spark: SparkSession, query: str, args: dict | None = None) -> DataFrame:
     """Run SQL with named parameters, e.g. ``WHERE transaction_date = :day``."""
     return spark.sql(query, args=args or {})

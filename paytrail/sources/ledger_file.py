@@ -34,6 +34,18 @@ def unknown_types(ledger: DataFrame) -> DataFrame:
 
 
 def ledger_slice(ledger: DataFrame, order, skip: int = 0, limit: int | None = None) -> DataFrame:
-    """Skip the first rows in the given order and keep at most ``limit`` after them."""
-    rows = ledger.orderBy(*order).offset(skip)
-    return rows if limit is None else rows.limit(limit)
+    """Skip the first rows in the given order and keep at most ``limit`` after them.
+
+    ``order`` names columns that tell all rows apart. With a limit, skip + limit rows pass one
+    task. Without, only the skipped rows do, to find the key where the rest begins.
+    """
+    ordered = ledger.orderBy(*order)
+    if limit is not None:
+        return ordered.offset(skip).limit(limit)
+    if not skip:
+        return ordered
+    first = ordered.select(*order).offset(skip).limit(1).first()
+    if first is None:
+        return ledger.where(F.lit(False))
+    key = F.struct(*(F.lit(first[name]).cast(ledger.schema[name].dataType).alias(name) for name in order))
+    return ledger.where(F.struct(*order) >= key).orderBy(*order)

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from paytrail import contract as c
-from paytrail.functions.calendar import moment
 from paytrail.operators.routing import REASONS, ingest
 from paytrail.sources.tables import day_text
 
@@ -68,12 +67,15 @@ def read_route(spark: SparkSession, landing: str, route: str) -> DataFrame:
 
 
 def drop_repeats(messages: DataFrame, delay: str = "1 hour", key=c.DEDUP_KEY) -> DataFrame:
-    """Drop repeated messages whose copies arrive within ``delay`` of event time.
+    """Drop repeated messages whose copies arrive within ``delay`` of each other; keep all else.
 
-    The watermark bounds the state: a key is forgotten once it is that old.
+    The watermark bounds the state: a key is forgotten ``delay`` after it arrived. It follows
+    the time of arrival, as no row is late by that clock; by the time of sending a first copy
+    that is late would be dropped, too.
     """
     return (
-        messages.withColumn("sentAt", moment(F.col("sentAt")))
-        .withWatermark("sentAt", delay)
+        messages.withColumn("_arrived", F.current_timestamp())
+        .withWatermark("_arrived", delay)
         .dropDuplicatesWithinWatermark(list(key))
+        .drop("_arrived")
     )

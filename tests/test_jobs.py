@@ -56,8 +56,9 @@ def test_repeats_are_dropped_within_the_watermark(spark, tmp_path):
         return sorted(r.step for r in spark.read.parquet(str(tmp_path / "out")).collect())
 
     assert run() == [1, 2]
-    rows.envelope(spark, message).write.mode("append").parquet(source)
-    assert run() == [1, 2]
+    late = json.dumps(rows.LEDGER | rows.DERIVED | {"step": 3, "sentAt": "2000-01-01T00:00:00"})
+    rows.envelope(spark, message, late).write.mode("append").parquet(source)
+    assert run() == [1, 2, 3]
 
 
 @pytest.fixture(scope="module")

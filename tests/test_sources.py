@@ -54,6 +54,7 @@ def test_slice(spark):
         return [r.step for r in ledger_file.ledger_slice(ledger, ["step"], *args).collect()]
 
     assert steps(3, 4) == [3, 4, 5, 6] and steps(8) == [8, 9] and steps(0, 2) == [0, 1]
+    assert steps(20) == [] and steps() == list(range(10))
 
 
 def test_messages_survive_encoding(spark):

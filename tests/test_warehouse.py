@@ -82,6 +82,11 @@ def test_catalog_table_and_sql(spark, tmp_path):
     assert [r[0] for r in found.collect()] == ["C1"]
     assert catalog.run_sql(spark, query, {"day": dt.date(2024, 3, 6)}).isEmpty()
     assert "PartitionFilters: [isnotnull(transaction_date" in _plan(found)
+    later = dt.date(2024, 3, 6)
+    tables.publish(alerts.withColumn("transaction_date", F.lit(later)), path, "alert_severity", day=later)
+    catalog.add_day(spark, "fraud_alerts", later)
+    catalog.add_day(spark, "not_declared", later)
+    assert catalog.run_sql(spark, query, {"day": later}).count() == 1
     spark.sql("DROP TABLE fraud_alerts")
 
 
