@@ -92,16 +92,16 @@ def search(text: str | None, items: tuple[tuple[int, str], ...]) -> list[tuple[i
             start = end + 1 - size - offset
             low, high = max(0, start - k), start + length + k
             known = spans.setdefault(n, [])
-            if known and low <= known[-1][1] and start - known[-1][2] <= k:
-                known[-1][1] = max(known[-1][1], high)
-                known[-1][2] = start
-            else:
-                known.append([low, high, start])
+            # Hits come by their end, so a repeated piece may move the start back.
+            while known and low <= known[-1][1]:
+                before = known.pop()
+                low, high = min(low, before[0]), max(high, before[1])
+            known.append([low, high])
     found = []
     for n, places in spans.items():
         item_id, item = items[n]
         best = None
-        for low, high, _ in places:
+        for low, high in places:
             hit = myers(item, text[low:high], budget(len(item)))
             if hit and (best is None or hit[0] < best[0]):
                 best = (hit[0], low + hit[1])

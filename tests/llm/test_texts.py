@@ -107,6 +107,27 @@ def test_edit_matching_equals_brute_force(table):
     assert decontaminate.matches(df, tests.limit(0)).count() == 0
 
 
+def test_items_with_repeated_pieces_equal_brute_force():
+    rng = np.random.default_rng(5)
+
+    def letters(n):
+        return "".join(rng.choice(list("abcdefghijklmnop"), n))
+
+    found_some = 0
+    for round_ in range(150):
+        a, b = letters(16), letters(16)
+        item = (a + b + a + letters(128), a * 11, a + letters(16) + a + b + a + b + letters(80))[round_ % 3]
+        copy = list(item)
+        for at in ([3, 20] if round_ < 3 else rng.integers(0, len(item), rng.integers(0, 13))):
+            copy[at] = "z"
+        text = letters(40) + "".join(copy) + letters(40) + (a + b) * (round_ % 2)
+        d = edit_distance_within(item, text)
+        hits = decontaminate.search(text, ((1, item),))
+        assert [h[1] for h in hits] == [d] * (d <= decontaminate.budget(len(item)))
+        found_some += bool(hits)
+    assert 50 < found_some < 150
+
+
 def test_extraction(table):
     page = (
         "<html><head><title>t</title><script>if (a<b) '</p>'</script></head><body><nav><a href=x>Home</a></nav>"
