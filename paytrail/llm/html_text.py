@@ -7,6 +7,7 @@ pass an open block takes the label of the nearest decided blocks around it.
 
 import html
 import re
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -44,20 +45,32 @@ BLOCKS = frozenset(
     "form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th "
     "thead tr ul dialog".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements without content. Fixed values of the markup language.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Words in class, id or role that mark something beside the article.
+#: Elements whose content is plain text up to the end tag, whatever it looks like. Fixed values of the markup language.
+RAW = frozenset("script style textarea title iframe noscript template".split())
+#: Names in class, id, role or label that mark something beside the article. A name counts as a
+#: whole: besides these words it may only say where the thing is or what it is made of.
 _ASIDE = re.compile(
-    r"(?:^|[^a-z])(?:ad|ads|advert\w*|adsense|banner|sponsor\w*|promo\w*|sidebar\w*|side-bar|menu\w*|nav\w*|"
-    r"breadcrumb\w*|footer|header|masthead|cookie\w*|consent|notice|gdpr|popup|modal|newsletter|subscri\w*|"
-    r"comment\w*|respond|replies|disqus\w*|related|recommend\w*|share|sharing|social\w*|widget\w*|login|signup|"
-    r"search\w*|pagination|pager|toolbar|copyright|disclaimer)(?:$|[^a-z])"
+    r"(?:(?:site|main|global|top|bottom|left|right|primary|secondary|mobile|desktop|sticky|floating|js|post|page|user|"
+    r"author|skip|email|google|display)[-_]+)*"
+    r"(?:ad|ads|advert[^\W_]*|adsense|banner|sponsor[^\W_]*|promo[^\W_]*|sidebar[^\W_]*|side-bar|menu[^\W_]*|nav[^\W_]*|"
+    r"breadcrumb[^\W_]*|footer|(?<!post-)(?<!post_)(?<!page-)(?<!page_)header|masthead|cookie[^\W_]*|consent|notice|gdpr|"
+    r"popup|modal|newsletter|subscri[^\W_]*|comment[^\W_]*|respond|replies|disqus[^\W_]*|related|recommend[^\W_]*|share|"
+    r"sharing|social[^\W_]*|widget[^\W_]*|login|signup|search[^\W_]*|pagination|pager|toolbar|copyright|disclaimer)"
+    r"(?:[-_]+(?:\d+|ads?|adsense|banner|promo|sidebar|menu|nav|navigation|footer|header|cookies?|consent|notice|gdpr|popup|"
+    r"modal|newsletter|comments?|related|share|sharing|social|media|widgets?|login|signup|search|pagination|bar|area|box|"
+    r"block|button|buttons|btn|container|content|dialog|fixed|form|group|icon|icons|inner|item|items|left|link|links|list|"
+    r"main|message|outer|overlay|panel|policy|posts|articles|stories|primary|right|secondary|section|slot|sticky|text|thread|"
+    r"title|toggle|top|bottom|unit|wrap|wrapper|expand|sm|md|lg|xl))*"
 )
-_NAMES = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-_HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?false)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S
 )
+_FIRST_BLOCK = re.compile(rf"</?(?:{'|'.join(sorted(BLOCKS))})(?=[\s/>])", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
 
 GOOD, BAD, OPEN = 1, -1, 0
@@ -73,32 +86,103 @@ STOP_LOW = 0.08
 class Block:
     """Text of a block with what the rules need to know of it."""
 
-    __slots__ = ("parts", "linked", "main", "aside")
+    __slots__ = ("parts", "linked", "main", "aside", "heading")
 
-    def __init__(self, main, aside):
-        self.parts, self.linked, self.main, self.aside = [], 0, main, aside
+    def __init__(self, main, aside, heading):
+        self.parts, self.linked, self.main, self.aside, self.heading = [], 0, main, aside, heading
 
     def text(self):
         return " ".join(html.unescape("".join(self.parts)).split())
 
 
-def blocks(page: str) -> list[tuple[str, float, int, bool]]:
-    """(text, link density, number of the main element or 0, aside) of each block, in page order."""
+def _named_aside(attributes: dict[str, str]) -> bool:
+    """Whether a class, the id, the role or the label names something beside the article."""
+    names = [n for key in ("class", "id", "role") for n in attributes.get(key, "").split()]
+    names.append("-".join(attributes.get("aria-label", "").split()))
+    return any(_ASIDE.fullmatch(n.lower()) for n in names)
+
+
+def _hidden(attributes: dict[str, str]) -> bool:
+    return (
+        attributes.get("hidden", "false").lower() != "false"
+        or attributes.get("aria-hidden", "").lower() == "true"
+        or bool(_NO_DISPLAY.search(attributes.get("style", "")))
+    )
+
+
+def _attributes(tag: str) -> dict[str, str]:
+    """Attributes by name; of a repeated one the first counts."""
+    found: dict[str, str] = {}
+    for name, *values in _ATTRIBUTE.findall(tag):
+        found.setdefault(name.lower(), "".join(values))
+    return found
+
+
+@lru_cache(maxsize=10_000)
+def _marks(tag: str) -> tuple[bool, bool]:
+    """(named as an aside, hidden) by the attributes of a start tag."""
+    attributes = _attributes(tag)
+    return _named_aside(attributes), _hidden(attributes)
+
+
+def _end_of_dropped(page: str, name: str, at: int, ends: dict[str, re.Match | None]) -> int:
+    """Where the content of a dropped element ends; ``at`` if its end tag is missing.
+
+    Outside raw text an end tag behind the next element of that name, the body, a main
+    element or an article belongs to another. Raw text without an end tag runs to the first block.
+    """
+    end = ends.get(name)
+    if name not in ends or end and end.start() < at:
+        end = ends[name] = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
+    if name in RAW:
+        if end:
+            return end.end()
+        if name in ("noscript", "template", "iframe"):
+            return at
+        block = _FIRST_BLOCK.search(page, at)
+        return block.start() if block else len(page)
+    if not end:
+        return at
+    own = "" if name in ("svg", "math", "object", "canvas") else f"{name}|"
+    other = re.compile(rf"<(?:{own}body|article|main)(?=[\s/>])", re.I).search(page, at, end.start())
+    return at if other else end.end()
+
+
+def blocks(page: str) -> list[tuple[str, float, int, bool, bool]]:
+    """(text, link density, number of the main element or 0, aside, heading) of each block, in page order.
+
+    What is named like something beside the article, or is a form, but holds the page's main
+    element is no aside. The same holds for an article, if none stands outside all asides:
+    else it is a comment or a teaser.
+    """
+    holders: dict[int, bool] = {}
+    found, outside = _blocks(page, frozenset(), holders)
+    exempt = frozenset(at for at, sure in holders.items() if sure or not outside)
+    return _blocks(page, exempt, {})[0] if exempt else found
+
+
+def _blocks(page: str, exempt: frozenset[int], holders: dict[int, bool]):
+    """The blocks, and whether an article or main element stands outside all asides.
+
+    ``holders`` gets the places of the asides around such elements, true for a main element;
+    ``exempt`` has the places of those that are no asides.
+    """
     found, stack = [], []
-    state = {"main": 0, "aside": 0, "link": 0, "mains": 0}
-    current = Block(0, False)
-    at = 0
+    state = {"main": 0, "aside": 0, "link": 0, "heading": 0, "mains": 0}
+    current = Block(0, False, False)
+    at, ends = 0, {}
 
     def close():
         nonlocal current
         if current.parts:
             found.append(current)
-        current = Block(state["main"], state["aside"] > 0)
+        current = Block(state["main"], state["aside"] > 0, state["heading"] > 0)
 
     def leave(entry):
-        _, aside, main, link = entry
+        name, aside, main, link, _ = entry
         state["aside"] -= aside
         state["link"] -= link
+        state["heading"] -= name in HEADINGS
         if main:
             state["main"] = 0
 
@@ -131,15 +215,14 @@ def blocks(page: str) -> list[tuple[str, float, int, bool]]:
             add("\n")
             continue
         if name in DROPPED:
-            end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
             if not tag[3].endswith("/"):
-                at = end.end() if end else len(page)
+                at = _end_of_dropped(page, name, at, ends)
             continue
-        names = " ".join(a or b or c for a, b, c in _NAMES.findall(tag[3])).lower()
-        aside = name in BOILERPLATE or bool(_ASIDE.search(names)) or bool(_HIDDEN.search(tag[3]))
-        if name == "header" and state["main"] and not _ASIDE.search(names):
+        named, hidden = _marks(tag[3])
+        aside = name in BOILERPLATE or named or hidden
+        if name == "header" and state["main"] and not named:
             aside = False
-        if name in MAIN or name in ("body", "html"):
+        if name in MAIN or name in ("body", "html") or tag.start() in exempt:
             aside = False
         if name in BLOCKS:
             if name in ("p", "li") and stack and stack[-1][0] == name:
@@ -147,13 +230,19 @@ def blocks(page: str) -> list[tuple[str, float, int, bool]]:
             close()
         if name in VOID or tag[3].endswith("/"):
             continue
+        if name in MAIN and state["aside"]:
+            for entry in stack:
+                if entry[4] is not None:
+                    holders[entry[4]] = holders.get(entry[4], False) or name == "main"
         main = name in MAIN and not state["main"] and not state["aside"]
         if main:
             state["mains"] += 1
             state["main"] = state["mains"]
         state["aside"] += aside
         state["link"] += name == "a"
-        stack.append((name, aside, main, name == "a"))
+        state["heading"] += name in HEADINGS
+        loose = aside and not hidden and (name == "form" or name not in BOILERPLATE)
+        stack.append((name, aside, main, name == "a", tag.start() if loose else None))
         if name in BLOCKS:
             close()
     rest = page[at:]
@@ -165,8 +254,8 @@ def blocks(page: str) -> list[tuple[str, float, int, bool]]:
         text = block.text()
         if text:
             solid = len(text.replace(" ", ""))
-            result.append((text, min(1.0, block.linked / max(1, solid)), block.main, block.aside))
-    return result
+            result.append((text, min(1.0, block.linked / max(1, solid)), block.main, block.aside, block.heading))
+    return result, state["mains"] > 0
 
 
 def first_pass(text: str, link_density: float, main: int, aside: bool) -> int:
@@ -214,7 +303,7 @@ def second_pass(labels: list[int], mains: list[int]) -> list[bool]:
 def main_text(page: str | None) -> str:
     """The blocks kept, in page order, one to a line."""
     found = blocks(page or "")
-    labels = [first_pass(*block) for block in found]
+    labels = [first_pass(*block[:4]) for block in found]
     kept = second_pass(labels, [block[2] for block in found])
     return "\n".join(block[0] for block, keep in zip(found, kept, strict=True) if keep)
 

@@ -149,6 +149,44 @@ def test_extraction_without_a_main_element():
     assert html_text.main_text(page).count("\n") == 2 and "Short." in html_text.main_text(page)
 
 
+PROSE = "It was the best of times and it was the worst of times for all of them. " * 4
+
+
+@pytest.mark.parametrize("attribute", [
+    'style="overflow:hidden"', 'class="overflow-hidden"', 'data-hidden="x"', 'class="page has-sidebar"', "class=no-sidebar",
+    'class="search-result-page"', 'class="article-header"', 'aria-label="Search results"', 'class="sidebar"', "id=comments",
+    'class="entry-header post-header page-header"', 'hidden="false"',
+])
+@pytest.mark.parametrize("element", ["article", "main", "div"])
+def test_wrappers_of_the_article_are_no_asides(attribute, element):
+    if element == "div" and attribute in ('class="sidebar"', "id=comments"):
+        pytest.skip("an aside unless it holds the article")
+    page = f"<body><div {attribute}><{element}><h1>Head</h1><p>{PROSE}</p></{element}></div><footer>{PROSE}</footer>"
+    found = html_text.main_text(page).split("\n")
+    assert PROSE.strip() in found and len(found) <= 2
+
+
+@pytest.mark.parametrize("attribute", [
+    "hidden", 'aria-hidden="true"', 'style="color:red; DISPLAY : none"', 'class="site-footer"', "id=main-nav", 'class="a related-posts"',
+    'class="cookie-banner"', "class=sidebar-left", 'aria-label="Main navigation"', "class=comment_list", 'class="x widget_area-2"',
+])
+@pytest.mark.parametrize("inner", ["div", "article"])
+def test_asides_stay_out(attribute, inner):
+    page = f"<article><p>{PROSE}</p></article><div {attribute}><{inner}>Other {PROSE}</{inner}></div>"
+    assert html_text.main_text(page) == PROSE.strip()
+
+
+@pytest.mark.parametrize("before", [
+    "<head><title>t</title><style>p {}</style><body>", "<head><meta charset=x><script>'<p>'</script>", "<head><title>t",
+    "<body><select><option>a<option>b", "<body><button>", "<body><svg><path d=x>", "<datalist><option value=a></datalist>",
+    "<form id=page>", "<script>if (a<b) x()",
+])
+def test_missing_end_tags_lose_nothing(before):
+    for after in ("", "<button>Share</button><select><option>c</select><svg></svg>"):
+        page = f"{before}<article><h1>Head</h1><p>{PROSE}</p></article>{after}"
+        assert html_text.main_text(page).split("\n")[-2:] == ["Head", PROSE.strip()]
+
+
 def test_fingerprints_equal_brute_force(table, texts, monkeypatch):
     rows = sorted(texts + [(-1, None), (-2, ""), (-3, "b" * 50_000)], reverse=True, key=lambda r: r[0])
     monkeypatch.setattr(fingerprints, "RANGES", 7)
