@@ -2,7 +2,9 @@
 
 The first pass looks at each block alone: its length, the share of stop words and the share of
 text inside links decide good or bad, or leave a short or unclear block open. In the second
-pass an open block takes the label of the nearest decided blocks around it.
+pass an open block takes the label of the nearest decided blocks around it. What nothing speaks
+against is kept: only an aside or a share of links makes a block bad by itself, as few stop words
+may also mean a language without a list.
 """
 
 import html
@@ -268,15 +270,17 @@ def first_pass(text: str, link_density: float, main: int, aside: bool) -> int:
     density = sum(w in STOP_WORDS for w in words) / max(1, len(words))
     if density >= STOP_HIGH or (density >= STOP_LOW and len(text) >= LONG_CHARS):
         return GOOD
-    # Inside a main element prose without stop words is unclear, not bad.
-    return OPEN if density >= STOP_LOW or main else BAD
+    # Prose with few stop words is unclear, not bad: its language may have no list.
+    return OPEN
 
 
-def second_pass(labels: list[int], mains: list[int]) -> list[bool]:
+def second_pass(labels: list[int], found: list[tuple]) -> list[bool]:
     """Open blocks take the label of their nearest decided neighbours.
 
-    Inside a main element the element decides: an open block there is good. Elsewhere both
-    sides must be good, or the nearer one if they differ.
+    Inside a main element the element decides: an open block there is good. Elsewhere the
+    nearer neighbour decides, and at equal distance the good one. A heading is kept with all
+    up to a good block after it, and a long block beside a good one, whatever the distance, if no bad
+    block lies between. On a page without any good block all open blocks are kept.
     """
     before, after = [None] * len(labels), [None] * len(labels)
     for side, order in ((before, range(len(labels))), (after, range(len(labels) - 1, -1, -1))):
@@ -285,18 +289,25 @@ def second_pass(labels: list[int], mains: list[int]) -> list[bool]:
             side[i] = seen
             if labels[i] != OPEN:
                 seen = i
+    some, headed = GOOD in labels, False
     kept = []
     for i, label in enumerate(labels):
+        text, _, main, _, heading = found[i]
+        # Whether a heading came since the last decided block.
+        headed = label == OPEN and (headed or heading)
         if label != OPEN:
             kept.append(label == GOOD)
             continue
-        if mains[i]:
+        if main or not some:
             kept.append(True)
             continue
         around = [j for j in (before[i], after[i]) if j is not None]
-        good = [j for j in around if labels[j] == GOOD]
-        bad = [j for j in around if labels[j] == BAD]
-        kept.append(bool(good) and (not bad or abs(good[0] - i) < abs(bad[0] - i)))
+        good = [abs(j - i) for j in around if labels[j] == GOOD]
+        bad = [abs(j - i) for j in around if labels[j] == BAD]
+        leads = headed and after[i] is not None and labels[after[i]] == GOOD
+        kept.append(bool(good) and (
+            leads or len(text) >= SHORT_CHARS or not bad or min(good) <= min(bad)
+        ))
     return kept
 
 
@@ -304,7 +315,7 @@ def main_text(page: str | None) -> str:
     """The blocks kept, in page order, one to a line."""
     found = blocks(page or "")
     labels = [first_pass(*block[:4]) for block in found]
-    kept = second_pass(labels, [block[2] for block in found])
+    kept = second_pass(labels, found)
     return "\n".join(block[0] for block, keep in zip(found, kept, strict=True) if keep)
 
 

@@ -187,6 +187,31 @@ def test_missing_end_tags_lose_nothing(before):
         assert html_text.main_text(page).split("\n")[-2:] == ["Head", PROSE.strip()]
 
 
+MENU = "<ul><li><a>one</a></li><li><a>two</a></li></ul>"
+POLISH = "Wszyscy ludzie rodzą się wolni pod względem swej godności oraz swych praw, są obdarzeni rozumem. "
+
+
+@pytest.mark.parametrize("middle,kept", [
+    (f"<h1>Head</h1><p>{PROSE}</p>", ["Head", PROSE]),
+    (f"<p>First.</p><p>{PROSE}</p><p>Last.</p>", ["First.", PROSE, "Last."]),
+    (f"<h2>Head</h2><p>By A</p><p>May</p><p>{PROSE}</p>", ["Head", "By A", "May", PROSE]),
+    ("<h1>Head</h1><p>One line.</p><p>Two lines.</p>", ["Head", "One line.", "Two lines."]),
+    (f"<h1>Tytuł</h1><p>{POLISH}</p><p>{POLISH * 3}</p>", ["Tytuł", POLISH, POLISH * 3]),
+    (f"<p>{'日本語の文章です。' * 20}</p>", ["日本語の文章です。" * 20]),
+    (f"<p>{PROSE}</p><p>Kto</p><p>{POLISH}</p>", [PROSE, "Kto", POLISH]),
+    (f"<p>{PROSE}</p>{MENU}<p>Beside</p>", [PROSE]),
+])
+@pytest.mark.parametrize("end", ["<footer>The end of the page</footer>", MENU])
+def test_open_blocks_without_a_main_element(middle, kept, end):
+    page = f"<body>{MENU}{middle}{end}"
+    assert html_text.main_text(page).split("\n") == [k.strip() for k in kept]
+
+
+def test_pages_of_open_blocks_only():
+    assert html_text.main_text("<p>Short.</p><p>And short.</p>") == "Short.\nAnd short."
+    assert html_text.main_text(f"{MENU}<footer>The site</footer>") == ""
+
+
 def test_fingerprints_equal_brute_force(table, texts, monkeypatch):
     rows = sorted(texts + [(-1, None), (-2, ""), (-3, "b" * 50_000)], reverse=True, key=lambda r: r[0])
     monkeypatch.setattr(fingerprints, "RANGES", 7)
