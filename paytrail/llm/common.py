@@ -66,31 +66,41 @@ def store(df: DataFrame, purpose: str) -> DataFrame:
 
 def running(
     df: DataFrame, keys: list[str], order: list[Column], weight: Column, name: str,
-    bucket_rows: int = 20_000,
+    bucket_rows: int = 20_000, rank: str | None = None,
 ) -> DataFrame:
     """Add the sum of the weights before each row of its key, never a whole key in one task.
 
     Rows are dealt to buckets by the hash of ``order``; a bucket begins at the prefix sum of
     the buckets before it, so sums follow the buckets and, inside a bucket, the order.
-    Rows equal in all of ``order`` share a bucket and are interchangeable.
+    Rows equal in all of ``order`` share a bucket and are interchangeable. With ``rank``, a
+    column of whole numbers with few distinct ones, sums follow it at any size, and only the
+    rows of one number are dealt by hash. Such a ``df`` must be stored, as it is read twice.
     """
-    buckets = max(1, -(-df.count() // bucket_rows))
-    dealt = df.withColumns({
-        "_bucket": F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"), "_weight": weight,
+    if rank is None:
+        dealt, ranks = df, []
+        buckets = F.lit(max(1, -(-df.count() // bucket_rows)))
+    else:
+        ranks = ["_rank"]
+        # Numbers with more rows than a bucket holds: one row here for each full bucket at most.
+        large = df.groupBy(F.col(rank).alias("_value")).agg(F.count(F.lit(1)).alias("_rows")).where(
+            F.col("_rows") > bucket_rows
+        ).collect()
+        dealt = df.withColumn("_rank", F.col(rank))
+        many = [F.lit(x) for r in large for x in (r["_value"], -(-r["_rows"] // bucket_rows))]
+        buckets = F.coalesce(F.create_map(*many)[F.col("_rank")], F.lit(1)) if many else F.lit(1)
+    dealt = dealt.withColumns({
+        "_bucket": F.pmod(F.xxhash64(*order), buckets).cast("int"), "_weight": weight,
     })
-    sizes = dealt.groupBy(*keys, "_bucket").agg(F.sum("_weight").alias("_size"))
-    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(
+    parts = [*keys, *ranks, "_bucket"]
+    sizes = dealt.groupBy(*parts).agg(F.sum("_weight").alias("_size"))
+    earlier = Window.partitionBy(*keys).orderBy(*ranks, "_bucket").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    bases = sizes.select(
-        *keys, "_bucket", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_base")
-    )
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, 0
-    )
+    bases = sizes.select(*parts, F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_base"))
+    inside = Window.partitionBy(*parts).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = dealt.withColumn("_at", F.sum("_weight").over(inside) - F.col("_weight"))
     same = reduce(
-        lambda a, b: a & b, (F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in [*keys, "_bucket"])
+        lambda a, b: a & b, (F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in parts)
     )
     return local.alias("l").join(bases.alias("r"), same).select(
         *(F.col(f"l.{c}") for c in df.columns), (F.col("_base") + F.col("_at")).alias(name)

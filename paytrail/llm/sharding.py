@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from paytrail.llm.common import numbered, running, store
 
 SHARDS = 40
+#: Rounds of moves after which one must bring pieces of groups together for another to follow.
 ROUNDS = 12
 #: Room above the quota while groups are still moving, in hundredths.
 SLACK = 20
@@ -35,8 +36,14 @@ def _merged(cells: DataFrame) -> DataFrame:
 
 
 def propagate(cells: DataFrame, quotas: list[int], rounds: int = ROUNDS) -> DataFrame:
-    """Cells (group, shard, n) after up to ``rounds`` rounds of moves, at most at quota plus slack."""
-    for _ in range(rounds):
+    """Cells (group, shard, n) after the moves, at most at quota plus slack.
+
+    After ``rounds`` rounds the moves go on as long as each round leaves fewer cells: a group of
+    one cell is whole, and no move makes a new cell. Each move takes members to a cell as large
+    or larger, so the moves end by themselves.
+    """
+    pieces, turn = cells.count(), 0
+    while True:
         room = [
             q * (100 + SLACK) // 100 - load
             for q, load in zip(quotas, _loads(cells, len(quotas)), strict=True)
@@ -55,7 +62,8 @@ def propagate(cells: DataFrame, quotas: list[int], rounds: int = ROUNDS) -> Data
         ).select(*_GROUP, "shard", "n", "to", (F.col("total") - F.col("there")).alias("missing"))
         wishes = store(wishes, "shard-wishes")
         placed = running(
-            wishes, ["to"], [F.col("missing"), *map(F.col, _GROUP), F.col("shard")], F.col("n"), "before"
+            wishes, ["to"], [F.col("missing"), *map(F.col, _GROUP), F.col("shard")], F.col("n"), "before",
+            rank="missing",
         )
         moved = F.greatest(
             F.lit(0), F.least(F.col("n"), _by_shard(room, F.col("to")) - F.col("before"))
@@ -70,6 +78,9 @@ def propagate(cells: DataFrame, quotas: list[int], rounds: int = ROUNDS) -> Data
             cells.unionByName(moves.select(*_GROUP, "shard", (-F.col("moved")).alias("n")))
             .unionByName(moves.select(*_GROUP, F.col("to").alias("shard"), F.col("moved").alias("n")))
         ).where("n > 0"), "shard-cells")
+        before, pieces, turn = pieces, cells.count(), turn + 1
+        if turn >= rounds and pieces >= before:
+            break
     return cells
 
 
@@ -95,7 +106,7 @@ def settle(cells: DataFrame, quotas: list[int]) -> DataFrame:
         return cells
     over = _by_shard(excess, F.col("shard"))
     ranked = running(
-        cells.where(over > 0), ["shard"], [F.col("n"), *map(F.col, _GROUP)], F.col("n"), "before"
+        cells.where(over > 0), ["shard"], [F.col("n"), *map(F.col, _GROUP)], F.col("n"), "before", rank="n"
     )
     leaving = store(
         ranked.withColumn("n", F.least(F.col("n"), over - F.col("before"))).where("n > 0").drop("before"),

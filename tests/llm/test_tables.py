@@ -50,6 +50,46 @@ def test_shards_of_an_empty_table(table):
     assert sharding.shard(table([], "doc_id long, text string")).count() == 0
 
 
+def test_sums_follow_the_rank_at_any_size(table):
+    rows = [(i % 3, 1 + i % 7 * (i % 2), i) for i in range(900)]
+    df = table([*rows, *rows[:9]], "k int, n long, v int")
+    found = common.running(df, ["k"], [df.n, df.v], df.n, "before", bucket_rows=50, rank="n").collect()
+    for k in range(3):
+        own = sorted((r.before, r.n) for r in found if r.k == k)
+        assert [n for _, n in own] == sorted(n for _, n in own) and own[0][0] == 0
+        assert all(a + n == b for (a, n), (b, _) in zip(own, own[1:], strict=False))
+
+
+def test_small_groups_move_first_above_a_bucket(spark):
+    size = 25_000
+    small = ("id AS key", "0L AS text_crc32", "16L AS size")
+    cells = common.store(
+        spark.range(size).selectExpr(*small, "0 AS shard", "2L AS n").unionByName(
+            spark.range(size, size + 8).selectExpr(*small, "0 AS shard", "900L AS n")
+        ), "test-cells",
+    )
+    left = sharding.settle(cells, [17_200, 60_000])
+    assert left.where("shard = 0").agg({"n": "sum"}).first()[0] == 17_200
+    assert left.where("n >= 900 AND shard = 0").count() == 8
+    # Each small group misses one member in shard 1, each large one 300; not all find room.
+    halves = cells.selectExpr("key", "text_crc32", "size", "0 AS shard", "n DIV 3 + int(n = 2) AS n").unionByName(
+        cells.selectExpr("key", "text_crc32", "size", "1 AS shard", "n - n DIV 3 AS n")
+    )
+    halves = common.store(halves, "test-cells")
+    load = halves.where("shard = 1").agg({"n": "sum"}).first()[0]
+    moved = sharding.propagate(halves, [0, -(-(load + size + 300) * 100 // 120)], 1)
+    assert moved.where(f"key < {size} AND shard = 0").count() == 0
+    assert moved.where(f"key >= {size} AND shard = 0").count() >= 6
+
+
+def test_moves_go_on_while_they_bring_pieces_together(table):
+    rows = [(1, 0, 16, 0, 3), (1, 0, 16, 1, 2), (2, 0, 16, 0, 3), (2, 0, 16, 2, 4)]
+    cells = table(rows, "key long, text_crc32 long, size long, shard int, n long")
+    # Only when group 2 has left shard 0 is there room for group 1.
+    found = sharding.propagate(cells, [5, 10, 10], 1).collect()
+    assert sorted((r.key, r.shard, r.n) for r in found) == [(1, 0, 5), (2, 2, 7)]
+
+
 def test_audit_finds_each_fault(table):
     rows = [(f, 100 * i, f * 50 + i, f"d{f}-{i}") for f in range(4) for i in range(50)] + [(0, 0, 0, "d0-0")]
     schema = "warc_file long, record_offset long, record_id long, digest string"
