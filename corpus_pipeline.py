@@ -30,7 +30,7 @@ def pseudonymize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs)
+    return packing.pack(docs, added=True)
 
 
 STAGES = [

@@ -21,6 +21,8 @@ from paytrail.llm.common import shipped, store
 LENGTH = 2048
 #: The vocabulary: byte-level BPE, its ranks for the faster of two libraries with equal ids.
 VOCABULARY = "byte_bpe_50k.tiktoken"
+#: The added token of the vocabulary's other file, byte_bpe_50k.json, and its id.
+ADDED = {"<|endoftext|>": 50256}
 #: Id that ends every document.
 END = 1
 
@@ -34,7 +36,8 @@ def encoder(vocabulary: str = VOCABULARY):
     with open(public_tokenizers.path(vocabulary), "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     return tiktoken.Encoding(
-        vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+        vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
+        special_tokens=ADDED if vocabulary == VOCABULARY else {},
     )
 
 
@@ -43,18 +46,24 @@ def encode(text: str, vocabulary: str = VOCABULARY) -> list[int]:
     return encoder(vocabulary).encode_ordinary(text)
 
 
+def encode_added(text: str) -> list[int]:
+    """Ids of a text as ``tokenizers`` gives them by the file as loaded: an added token is one id."""
+    return encoder().encode(text, allowed_special="all")
+
+
 TOKENS = "part int, before long, doc_id long, doc_tokens long, ids binary"
 
 
-def tokenize(docs: DataFrame, end: int = END) -> DataFrame:
+def tokenize(docs: DataFrame, end: int = END, added: bool = False) -> DataFrame:
     """Pass one: rows in partition order, ``before`` the partition's tokens so far."""
+    ids_of = encode_added if added else encode
 
     def run(batches):
         part, before = TaskContext.get().partitionId(), 0
         for batch in batches:
             starts, counts, ids = [], [], []
             for text in batch.column("text").to_pylist():
-                found = np.array([*encode(text or ""), end], "<u4")
+                found = np.array([*ids_of(text or ""), end], "<u4")
                 starts.append(before)
                 counts.append(len(found))
                 before += len(found)
@@ -107,14 +116,15 @@ def _cut(batch, length):
             start = stop
 
 
-def pack(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def pack(docs: DataFrame, length: int = LENGTH, added: bool = False) -> DataFrame:
     """Rows (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset), one a piece.
 
     Every row of ``docs`` (doc_id, text) gives its ids and the end id; a null or empty
     text gives the end id alone, repeated rows are packed again, a null doc_id stays null,
     and an empty table gives no rows. Only the last sequence can be shorter than ``length``.
+    With ``added``, the added token of the vocabulary counts as one id; else it is ordinary text.
     """
-    placed = place(store(tokenize(docs), "packing-tokens"))
+    placed = place(store(tokenize(docs, added=added), "packing-tokens"))
 
     def run(batches):
         for batch in batches:

@@ -48,7 +48,7 @@ FROM n JOIN r ON r.x = n.doc_id GROUP BY n.doc_id, n.n
 
 @query
 def op2_concatenate_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(common.read(spark, sf_dir, "documents"))
+    return packing.pack(common.read(spark, sf_dir, "documents"), added=True)
 
 
 @query

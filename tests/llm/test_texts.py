@@ -7,7 +7,7 @@ import numpy as np
 import pyspark.sql.functions as F
 import pytest
 
-from paytrail.llm import decontaminate, fingerprints, html_text, packing, pii
+from paytrail.llm import decontaminate, fingerprints, html_text, packing, pii, queries
 
 ODD = [(-1, None), (-2, ""), (-3, "x" * 70_000), (-4, "same"), (-4, "same"), (None, "no id"), (-5, "<|endoftext|> é\U0001f600")]
 
@@ -21,6 +21,18 @@ def test_ids_equal_those_of_the_other_library(texts):
         assert packing.encode(text or "") == other.encode(text or "", add_special_tokens=False).ids
 
 
+def test_packed_ids_equal_those_of_the_file_as_loaded(table, tmp_path, spark):
+    public = pytest.importorskip("public_tokenizers")
+    tokenizers = pytest.importorskip("tokenizers")
+    other = tokenizers.Tokenizer.from_file(public.path("byte_bpe_50k.json"))
+    rows = [(1, "a <|endoftext|> b"), (2, "<|endoftext|><|endoftext|>x"), (3, "<|endoftext"), (4, ""), (5, None)]
+    table(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = {r.doc_id: r for r in queries.QUERIES["op2_concatenate_and_cut"](spark, str(tmp_path)).collect()}
+    for doc_id, text in rows:
+        ids = np.array([*other.encode(text or "", add_special_tokens=False).ids, packing.END], "<u4")
+        assert (found[doc_id].doc_tokens, found[doc_id].ids_crc32) == (len(ids), zlib.crc32(ids.tobytes()))
+
+
 def test_packing_covers_each_id_once(table, texts):
     rows = ODD + texts
     df = table(rows, "doc_id long, text string").repartition(5)
