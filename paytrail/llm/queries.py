@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from paytrail.llm import (
     common, decontaminate, fingerprints, fixity, html_text, ngram_join, packing, pii, sharding,
-    token_rollup, toxicity,
+    spelling, token_rollup, toxicity,
 )
 from paytrail.session import shared_dir
 
@@ -115,3 +115,55 @@ def op5_delta_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
         rollup.commit(name, changes)
     rollup.commit("revision", batches["revision"])
     return rollup.totals()
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(common.read(spark, sf_dir, "documents"))
+
+
+def _sql_crc32(code_points: str) -> str:
+    """SQL for the unsigned crc32 of the UTF-8 bytes of a list of code points below U+0800.
+
+    The table of the checksum is the list ``t``, which ``_CRC_TABLE`` makes by its rule.
+    """
+    utf8 = f"flatten(list_transform({code_points}, lambda c: CASE WHEN c < 128 THEN [c] ELSE [192 + c // 64, 128 + c % 64] END))"
+    step = "xor(a >> 8, t[1 + (xor(a, b) & 255)])"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {utf8}), lambda a, b: {step}), 4294967295::BIGINT)"
+
+
+_CRC_TABLE = """crc AS (SELECT list_transform(range(256), lambda i: list_reduce(
+    list_concat([i::BIGINT], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+    lambda x, y: xor(x >> 1, (x & 1) * 3988292384))) AS t)"""
+
+ORACLES["op11_spelling_variants"] = f"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (
+  SELECT doc_id, w, count(*) AS times FROM (SELECT doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[a-zÀ-ÿ]+')) AS w FROM documents) GROUP BY doc_id, w),
+signed AS (
+  SELECT w, times, {_sql_crc32("list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || w, ''), lambda c: unicode(c)::BIGINT)")} AS h
+  FROM runs, crc),
+kept AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(w, 1, (h % length(w))::BIGINT) || substr(w, (h % length(w))::BIGINT + 2) ELSE w END AS word, times
+  FROM signed),
+v AS (SELECT word, sum(times)::BIGINT AS n FROM kept WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3),
+cut AS (
+  SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v),
+parts AS (SELECT word, n, i, substr(word, 1, i - 1) AS l, substr(word, i + 1) AS r FROM cut),
+near AS (
+  SELECT a.word, b.word AS other, b.n FROM parts a JOIN parts b ON a.i = b.i AND a.l = b.l AND a.r = b.r AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM parts a JOIN v b ON b.word = a.l || a.r
+  UNION SELECT b.word, a.word, a.n FROM parts a JOIN v b ON b.word = a.l || a.r),
+best AS (
+  SELECT word, count(*) AS n_near, max(n) AS top FROM near GROUP BY word),
+named AS (
+  SELECT v.word, v.n, coalesce(best.n_near, 0) AS n_near, CASE WHEN best.top >= 2 * v.n THEN best.top END AS form_n,
+    CASE WHEN best.top >= 2 * v.n THEN (SELECT min(x.other) FROM near x WHERE x.word = v.word AND x.n = best.top) END AS form
+  FROM v LEFT JOIN best USING (word)),
+walk AS (
+  SELECT word, word AS at, form AS next FROM named
+  UNION ALL SELECT w.word, w.next, f.form FROM walk w JOIN named f ON f.word = w.next WHERE w.next IS NOT NULL)
+SELECT f.word, f.form, w.at AS root, f.n, f.n_near, f.form_n FROM named f JOIN walk w ON w.word = f.word AND w.next IS NULL
+"""
