@@ -4,8 +4,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paytrail.llm import (
-    common, decontaminate, fingerprints, fixity, html_text, ngram_join, packing, pii, sharding,
-    spelling, token_rollup, toxicity,
+    common, decontaminate, fingerprints, fixity, html_text, manifest, ngram_join, packing, pii,
+    sharding, spelling, token_rollup, toxicity,
 )
 from paytrail.session import shared_dir
 
@@ -167,3 +167,71 @@ walk AS (
   UNION ALL SELECT w.word, w.next, f.form FROM walk w JOIN named f ON f.word = w.next WHERE w.next IS NOT NULL)
 SELECT f.word, f.form, w.at AS root, f.n, f.n_near, f.form_n FROM named f JOIN walk w ON w.word = f.word AND w.next IS NULL
 """
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(common.read(spark, sf_dir, "documents"))
+
+
+def _sql_framed(value: str) -> str:
+    return f"coalesce(octet_length(encode({value}))::VARCHAR || ':' || {value}, '-')"
+
+
+def _sql_leaf(text: str) -> str:
+    fields = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+    return f"sha256({' || '.join(map(_sql_framed, fields))})"
+
+
+def _sql_levels(name: str, leaves: str) -> str:
+    """All levels (tree, lv, pos, size, node) of the trees over ``leaves``, as a recursive table."""
+    return f"""{name} AS (
+  SELECT tree, 0 AS lv, pos, size, node FROM {leaves}
+  UNION ALL SELECT tree, lv + 1, pos // 16, (max(size) + 15) // 16, sha256(string_agg(node, '' ORDER BY pos))
+  FROM {name} WHERE size > 1 GROUP BY tree, lv, pos // 16)"""
+
+
+def _sql_walk(name: str, leaves: str, levels: str, given: str) -> str:
+    """From each leaf up to the root, with the siblings met (``proof``) and the root reached (``folded``)."""
+    run = f"FROM {levels} b WHERE b.tree = w.tree AND b.lv = w.lv AND b.pos // 16 = w.pos // 16"
+    return f"""{name} AS (
+  SELECT tree, pos AS leaf_at, 0 AS lv, pos, size, {given} FROM {leaves}
+  UNION ALL SELECT w.tree, w.leaf_at, w.lv + 1, w.pos // 16, (w.size + 15) // 16,
+    w.proof || (SELECT coalesce(string_agg(b.node, '' ORDER BY b.pos), '') {run} AND b.pos <> w.pos),
+    sha256((SELECT string_agg(CASE WHEN b.pos = w.pos THEN w.folded ELSE b.node END, '' ORDER BY b.pos) {run}))
+  FROM {name} w WHERE w.size > 1)"""
+
+
+_CRC_OF_ID = _sql_crc32("list_transform(string_split(doc_id::VARCHAR, ''), lambda c: unicode(c)::BIGINT)")
+_LOWER_AZ = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLES["op12_merkle_manifest"] = f"""
+WITH RECURSIVE {_CRC_TABLE},
+hashed AS (
+  SELECT doc_id, coalesce('=' || source, '') AS tree, {_sql_leaf("text")} AS node, {_sql_leaf(_LOWER_AZ)} AS lowered,
+    coalesce({_CRC_OF_ID} % 5 = 0, false) AS touched FROM documents, crc),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, node) - 1 AS pos,
+    count(*) OVER (PARTITION BY tree) AS size FROM hashed),
+{_sql_levels("levels", "leaves")},
+subroots AS (SELECT tree AS source, node FROM levels WHERE size = 1),
+heads AS (
+  SELECT 0 AS tree, source, node, row_number() OVER (ORDER BY encode(source)) - 1 AS pos, count(*) OVER () AS size FROM subroots),
+{_sql_levels("top", "heads")},
+start AS (SELECT *, '' AS proof, CASE WHEN touched THEN lowered ELSE node END AS folded FROM leaves),
+{_sql_walk("walk", "start", "levels", "proof, folded")},
+met AS (SELECT w.*, h.pos AS head_at, h.node AS subroot, h.size AS heads FROM walk w JOIN heads h ON h.source = w.tree WHERE w.size = 1),
+again AS (SELECT 0 AS tree, tree || ' ' || leaf_at AS pos, head_at, heads, proof, folded FROM met),
+upward AS (
+  SELECT pos AS leaf, 0 AS lv, head_at AS pos, heads AS size, proof, folded FROM again
+  UNION ALL SELECT w.leaf, w.lv + 1, w.pos // 16, (w.size + 15) // 16,
+    w.proof || (SELECT coalesce(string_agg(b.node, '' ORDER BY b.pos), '') FROM top b
+      WHERE b.lv = w.lv AND b.pos // 16 = w.pos // 16 AND b.pos <> w.pos),
+    sha256((SELECT string_agg(CASE WHEN b.pos = w.pos THEN w.folded ELSE b.node END, '' ORDER BY b.pos) FROM top b
+      WHERE b.lv = w.lv AND b.pos // 16 = w.pos // 16))
+  FROM upward w WHERE w.size > 1)
+SELECT l.doc_id, l.node AS leaf, h.node AS subroot, r.node AS root, sha256(u.proof) AS proof_sha256, u.folded AS folded_root,
+  u.folded = r.node AS verified
+FROM leaves l JOIN heads h ON h.source = l.tree JOIN (SELECT node FROM top WHERE size = 1) r ON true
+JOIN upward u ON u.leaf = l.tree || ' ' || l.pos AND u.size = 1
+"""
