@@ -4,8 +4,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paytrail.llm import (
-    common, decontaminate, fingerprints, fixity, html_text, manifest, ngram_join, packing, pii,
-    sharding, spelling, token_rollup, toxicity,
+    chat_format, common, decontaminate, fingerprints, fixity, html_text, manifest, ngram_join,
+    packing, pii, sharding, spelling, token_rollup, toxicity,
 )
 from paytrail.session import shared_dir
 
@@ -235,3 +235,53 @@ SELECT l.doc_id, l.node AS leaf, h.node AS subroot, r.node AS root, sha256(u.pro
 FROM leaves l JOIN heads h ON h.source = l.tree JOIN (SELECT node FROM top WHERE size = 1) r ON true
 JOIN upward u ON u.leaf = l.tree || ' ' || l.pos AND u.size = 1
 """
+
+
+@query
+def op13_budgeted_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = common.read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    return chat_format.read_back(chat_format.windows(table.unionByName(more)))
+
+
+# Escaped texts are longer by one character for each control string; marks by role are fixed.
+ORACLES["op13_budgeted_windows"] = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+sized AS (
+  SELECT *, 2 + len(regexp_extract_all(text, '\p{L}{1,5}|\p{N}{1,3}|[^\t-\r \p{L}\p{N}]')) AS cost,
+    length(text) + len(regexp_extract_all(text, '[<\[]\\*(?:/?s>|/?SYS\]|/?INST\]|OUT\]|/?ROLE\]|TEXT\])'))
+    + CASE role WHEN 'system' THEN 13 WHEN 'user' THEN 15 WHEN 'assistant' THEN 11 ELSE 23 + length(role) END AS chars
+  FROM t),
+placed AS (
+  SELECT *, coalesce(sum(cost) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begins,
+    sum(cost) OVER (PARTITION BY conv_id) AS total, first_value(role) OVER w = 'system' AS headed,
+    first_value(cost) OVER w AS head_cost, first_value(chars) OVER w AS head_chars
+  FROM sized WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+roomy AS (
+  SELECT *, CASE WHEN headed AND total > 1024 THEN head_cost ELSE 0 END AS opening,
+    CASE WHEN total <= 1024 THEN 1024 ELSE greatest(128, 896 - CASE WHEN headed THEN head_cost ELSE 0 END) END AS room
+  FROM placed),
+dealt AS (
+  SELECT *, begins // room AS stretch, begins % room >= room // 2 AS behind FROM roomy),
+fitted AS (
+  SELECT *, max(begins + cost) OVER s - min(begins) OVER s <= room AS fits FROM dealt WINDOW s AS (PARTITION BY conv_id, stretch)),
+spans AS (
+  SELECT conv_id, min(begins) AS begins, sum(chars) AS chars, any_value(room) AS room, any_value(opening) AS opening,
+    any_value(head_chars) AS head_chars FROM fitted GROUP BY conv_id, stretch, CASE WHEN fits THEN false ELSE behind END),
+headed AS (
+  SELECT s.conv_id, 3 + s.chars + CASE WHEN s.opening > 0 AND s.begins > 0 THEN s.head_chars ELSE 0 END
+    + coalesce((SELECT sum(f.chars) FROM fitted f WHERE f.conv_id = s.conv_id AND f.begins < s.begins
+      AND f.begins >= greatest(s.begins - least(128, s.room // 2), s.opening)), 0) AS chars FROM spans s),
+written AS (SELECT conv_id, sum(chars)::BIGINT AS formatted_chars FROM headed GROUP BY conv_id),
+said AS (
+  SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+    coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '') AS learned FROM t GROUP BY conv_id)
+SELECT conv_id, n_turns, turns_sha256, length(learned) AS loss_chars, sha256(learned) AS loss_sha256, formatted_chars
+FROM said JOIN written USING (conv_id)
+"""
