@@ -12,6 +12,7 @@ from paytrail import contract as c
 from paytrail.functions.calendar import day_filter, day_folder
 from paytrail.operators import activity, cleaning, metrics, publishing, quality, routing, scoring
 from paytrail.sources import catalog, tables
+from paytrail.sources.snapshots import DayTable
 from paytrail.streaming.ingest import BRONZE, read_route
 
 log = logging.getLogger(__name__)
@@ -88,29 +89,31 @@ def run_silver(spark: SparkSession, lake: Lake, day: dt.date) -> dict:
     read, complete, seen = Observation(), Observation(), Observation()
     counted = metrics.count_rows(to_complete(metrics.count_rows(bronze, read)), complete)
     stamped = to_latest(counted).withColumn("silver_processed_at", F.current_timestamp())
-    rows = tables.overwrite_day(stamped.observe(seen, *metrics.silver_columns()), lake.silver, day)
+    table = DayTable(spark, lake.silver)
+    rows = table.publish(stamped.observe(seen, *metrics.silver_columns()), day)
     if rows:
         counts = read.get["rows"], complete.get["rows"]
     else:
         counts = bronze.count(), to_complete(bronze).count()
-    found = _seen(spark, seen, rows, lake.silver, day, metrics.silver_columns())
+    found = _seen(seen, rows, table, day, metrics.silver_columns())
     return found | metrics.row_counts(*counts, rows)
 
 
-def _seen(spark, seen: Observation, rows: int, root: str, day: dt.date, columns) -> dict:
+def _seen(seen: Observation, rows: int, table: DayTable, day: dt.date, columns) -> dict:
     """Metrics observed during a write; an empty day is measured from its empty table.
 
     Adaptive execution may drop an emptied plan together with its observation.
     """
     if rows:
         return seen.get
-    return tables.read_day(spark, root, day).agg(*columns).first().asDict()
+    return table.read([day]).agg(*columns).first().asDict()
 
 
 def run_gold(spark: SparkSession, lake: Lake, day: dt.date) -> dict:
     """Silver to Gold for one day: the alert table and the account-day summary."""
-    tables.require_files(spark, lake.silver, day)
-    silver = tables.read_day(spark, lake.silver, day)
+    source = DayTable(spark, lake.silver)
+    tables.require_day(source, day)
+    silver = source.read([day])
     stamp = F.current_timestamp()
 
     seen = {}
@@ -120,8 +123,9 @@ def run_gold(spark: SparkSession, lake: Lake, day: dt.date) -> dict:
     ):
         observed = Observation()
         stamped = frame.withColumn("gold_processed_at", stamp).observe(observed, *columns)
-        rows = tables.overwrite_day(stamped, root, day)
-        seen |= _seen(spark, observed, rows, root, day, columns)
+        table = DayTable(spark, root)
+        rows = table.publish(stamped, day)
+        seen |= _seen(observed, rows, table, day, columns)
     return seen
 
 
@@ -139,23 +143,23 @@ def run_load(
     }
     loaded = {}
     for name, path in sources.items():
-        if tables.count_files(spark, day_folder(path, day)) == 0:
+        source = DayTable(spark, path)
+        if not source.has(day):
             log.warning("nothing to load into %s for %s", name, day)
             loaded[name] = 0
             continue
-        rows = publishing.shape(tables.read_day(spark, path, day), name, F.current_timestamp())
-        loaded[name] = tables.publish(
-            rows, lake.warehouse(name), c.WAREHOUSE_TABLES[name][1], day=day
-        )
+        rows = publishing.shape(source.read([day]), name, F.current_timestamp())
+        target = DayTable(spark, lake.warehouse(name))
+        loaded[name] = target.publish(rows, day, [c.WAREHOUSE_TABLES[name][1]])
         if database:
-            catalog.add_day(spark, f"{database}.{name}", day)
+            catalog.show_day(f"{database}.{name}", target, day)
         if not loaded[name]:
             log.warning("no rows for %s on %s", name, day)
     return loaded
 
 
 def read_warehouse(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(lake.warehouse(name)) for name in c.WAREHOUSE_TABLES}
+    return {name: DayTable(spark, lake.warehouse(name)).read() for name in c.WAREHOUSE_TABLES}
 
 
 def run_day(
@@ -170,7 +174,7 @@ def run_day(
     seen = {"silver": run_silver(spark, lake, day)}
     seen["gold"] = run_gold(spark, lake, day)
     for path in (lake.alerts, lake.summary):
-        tables.require_files(spark, path, day)
+        tables.require_day(DayTable(spark, path), day)
     seen["loaded"] = run_load(spark, lake, day)
     published = read_warehouse(spark, lake)
     tables.require_rows({name: published[name] for name in must_have}, day)
@@ -182,37 +186,33 @@ def run_quality(spark: SparkSession, lake: Lake, day: dt.date, only=None) -> Dat
 
     A layer without files for the day gets one failed row. ``quality.verdict`` sums a report up.
     """
-    on_day = F.col("transaction_date") == F.lit(day)
+    silver, alerts, summary = (DayTable(spark, p) for p in (lake.silver, lake.alerts, lake.summary))
+    published = {name: DayTable(spark, lake.warehouse(name)) for name in c.WAREHOUSE_TABLES}
 
-    def silver() -> DataFrame:
-        return tables.read_day(spark, lake.silver, day)
+    def landed() -> int:
+        return tables.count_files(spark, day_folder(lake.bronze, day))
 
     def bronze_report() -> DataFrame:
         rows = read_route(spark, lake.landing, BRONZE).where(day_filter(day))
-        files = tables.count_files(spark, day_folder(lake.bronze, day))
-        return quality.check_bronze(rows, files)
+        return quality.check_bronze(rows, landed())
 
     def gold_report() -> DataFrame:
-        return quality.check_gold(
-            tables.read_day(spark, lake.alerts, day), tables.read_day(spark, lake.summary, day)
-        )
+        return quality.check_gold(alerts.read([day]), summary.read([day]))
 
     def warehouse_report() -> DataFrame:
-        published = {n: df.where(on_day) for n, df in read_warehouse(spark, lake).items()}
-        return quality.check_warehouse(silver(), published)
+        return quality.check_warehouse(
+            silver.read([day]), {name: table.read([day]) for name, table in published.items()}
+        )
 
-    silver_day = day_folder(lake.silver, day)
     layers = {
-        "bronze": (bronze_report, [day_folder(lake.bronze, day)]),
-        "silver": (lambda: quality.check_silver(silver()), [silver_day]),
-        "gold": (gold_report, [day_folder(lake.alerts, day), day_folder(lake.summary, day)]),
-        "warehouse": (warehouse_report, [silver_day, *map(lake.warehouse, c.WAREHOUSE_TABLES)]),
+        "bronze": (bronze_report, landed),
+        "silver": (lambda: quality.check_silver(silver.read([day])), lambda: silver.has(day)),
+        "gold": (gold_report, lambda: alerts.has(day) and summary.has(day)),
+        "warehouse": (warehouse_report, lambda: all(t.has(day) for t in (silver, *published.values()))),
     }
 
-    def checked(name, build, folders) -> DataFrame:
-        if all(tables.count_files(spark, folder) for folder in folders):
-            return build()
-        return quality.absent(spark.range(1), name)
+    def checked(name, build, present) -> DataFrame:
+        return build() if present() else quality.absent(spark.range(1), name)
 
     return quality.run_checks(
         {name: partial(checked, name, *layer) for name, layer in layers.items()}, only

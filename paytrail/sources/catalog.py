@@ -5,26 +5,39 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from paytrail import contract as c
+from paytrail.sources.snapshots import Day, DayTable
 
 
-def create_table(spark: SparkSession, table: str, location: str) -> None:
-    """Declare an external table partitioned by date over published Parquet."""
-    schema, _ = c.WAREHOUSE_TABLES[table]
+def create_table(spark: SparkSession, table: str, days: DayTable) -> None:
+    """Declare an external table over the current days of a published one."""
+    schema, _ = c.WAREHOUSE_TABLES[table.rpartition(".")[2]]
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({columns}) "
-        f"USING parquet PARTITIONED BY (transaction_date) LOCATION '{location}'"
+        f"USING parquet PARTITIONED BY ({days.column}) LOCATION '{days.root}'"
     )
-    spark.catalog.recoverPartitions(table)
-
-
-def add_day(spark: SparkSession, table: str, day: dt.date) -> None:
-    """Make a published day visible in a declared table; undeclared tables are left alone."""
-    if spark.catalog.tableExists(table):
-        spark.sql(
-            f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION (transaction_date = DATE '{day.isoformat()}')"
-        )
-        spark.catalog.refreshTable(table)
+    current, _ = days.snapshot()
+    for day in current:
+        _point(spark, table, days, day)
+    spark.catalog.refreshTable(table)
+
+
+def show_day(table: str, days: DayTable, day: dt.date) -> None:
+    """Point a declared table's partition to the day's current version; other tables are left alone."""
+    if days.spark.catalog.tableExists(table):
+        current, _ = days.snapshot()
+        for found in (d for d in current if d.day == day):
+            _point(days.spark, table, days, found)
+        days.spark.catalog.refreshTable(table)
+
+
+def _point(spark: SparkSession, table: str, days: DayTable, day: Day) -> None:
+    where = f"PARTITION ({days.column} = DATE '{day.day.isoformat()}')"
+    if not day.row_count:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {where}")
+        return
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {where} LOCATION '{days.folder(day)}'")
+    spark.sql(f"ALTER TABLE {table} {where} SET LOCATION '{days.folder(day)}'")
 
 
 def run_sql(spark: SparkSession, query: str, args: dict | None = None) -> DataFrame:

@@ -3,12 +3,12 @@
 import datetime as dt
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paytrail import contract as c
 from paytrail.functions.calendar import day_folder
-from paytrail.operators.metrics import count_rows
+from paytrail.sources.snapshots import DayTable
 
 
 class DataGateError(RuntimeError):
@@ -51,53 +51,6 @@ def read_day(spark: SparkSession, root: str, day: dt.date) -> DataFrame:
     )
 
 
-def overwrite_day(df: DataFrame, root: str, day: dt.date) -> int:
-    """Replace one day and return the number of rows written.
-
-    A rerun leaves the same rows, and a rerun that yields no rows leaves none.
-    """
-    folder = day_folder(root, day)
-    df.write.mode("overwrite").parquet(folder)
-    return _rows(df.sparkSession, folder)
-
-
-def _rows(spark: SparkSession, folder: str) -> int:
-    """Rows in a folder, from the file footers; right for an empty one, too."""
-    return spark.read.parquet(folder).count()
-
-
-def publish(
-    df: DataFrame, path: str, cluster_by: str, partition: str = "transaction_date",
-    day: dt.date | None = None,
-) -> int:
-    """Replace published dates and return the number of rows written.
-
-    With a ``day``, that date is replaced, and emptied if ``df`` has no rows for it. Without,
-    the dates present in ``df`` are replaced. Rebalancing gives files of even size however
-    uneven the days are: adaptive execution merges small days and splits a day that
-    holds most rows. Sorting by the second key lets readers skip row groups.
-    """
-    if day is not None:
-        folder = f"{path}/{partition}={day.isoformat()}"
-        rows = df.where(F.col(partition) == F.lit(day)).drop(partition)
-        rows.hint("rebalance").sortWithinPartitions(cluster_by).write.mode("overwrite").parquet(folder)
-        return _rows(df.sparkSession, folder)
-    written = Observation()
-    observed = count_rows(df, written)
-    if df.isEmpty():
-        return 0
-    (
-        observed
-        .hint("rebalance", partition)
-        .sortWithinPartitions(partition, cluster_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
-    return written.get["rows"]
-
-
 def list_files(spark: SparkSession, root: str) -> DataFrame:
     """One row per Parquet file under a root, with its partition columns; reads no data."""
     return (
@@ -126,6 +79,12 @@ def require_files(spark: SparkSession, root: str, day: dt.date, minimum: int = 1
     return found
 
 
+def require_day(table: DayTable, day: dt.date) -> None:
+    """Gate: the day was committed, with rows or without. Files of no commit do not count."""
+    if not table.has(day):
+        raise DataGateError(f"{day} is not committed in {table.root}")
+
+
 def require_rows(tables: dict[str, DataFrame], day: dt.date) -> None:
     """Gate: every table has rows for the day."""
     on_day = F.col("transaction_date") == F.lit(day)

@@ -10,6 +10,7 @@ import rows
 from paytrail import contract as c
 from paytrail.plans import medallion
 from paytrail.sources import tables
+from paytrail.sources.snapshots import DayTable
 from paytrail.streaming import ingest
 from verification import fixture
 
@@ -80,7 +81,7 @@ def _snapshot(spark, lake):
         stamps = [n for n in df.columns if n.endswith(("processed_at", "loaded_at"))]
         return sorted(map(repr, df.drop(*stamps).collect()))
 
-    stored = [tables.read_days(spark, p) for p in (lake.silver, lake.alerts, lake.summary)]
+    stored = [DayTable(spark, p).read() for p in (lake.silver, lake.alerts, lake.summary)]
     return [content(df) for df in (*stored, *medallion.read_warehouse(spark, lake).values())]
 
 
@@ -122,14 +123,6 @@ def test_stages_need_their_input(spark, lake):
         "fact_transactions": 0, "fraud_alerts": 0, "transaction_summary": 0}
 
 
-def test_a_rerun_without_rows_leaves_none(spark, tmp_path):
-    root, day = str(tmp_path / "days"), dt.date(2024, 3, 5)
-    ledger = rows.ledger(spark, {})
-    assert tables.overwrite_day(ledger, root, day) == 1
-    assert tables.overwrite_day(ledger.limit(0), root, day) == 0
-    assert tables.read_day(spark, root, day).isEmpty()
-
-
 def test_a_day_without_alerts_and_a_day_emptied_by_a_rerun(spark, tmp_path):
     source, day = str(tmp_path / "topic"), dt.date(2024, 3, 5)
     message = rows.LEDGER | rows.DERIVED | {"isFraud": 0, "sentAt": "2024-03-05T10:00:00"}
@@ -144,12 +137,13 @@ def test_a_day_without_alerts_and_a_day_emptied_by_a_rerun(spark, tmp_path):
     medallion.run_gold(spark, lake, day)
     loaded = medallion.run_load(spark, lake, day)
     assert loaded["fact_transactions"] == loaded["transaction_summary"] == 1
-    seen = tables.read_day(spark, lake.alerts, day).count()
+    seen = DayTable(spark, lake.alerts).read([day]).count()
     assert loaded["fraud_alerts"] == seen
     quiet = dt.date(2024, 3, 9)
     assert medallion.run_silver(spark, lake, quiet) and medallion.run_gold(spark, lake, quiet)
     assert set(medallion.run_load(spark, lake, quiet).values()) == {0}
-    tables.overwrite_day(tables.read_day(spark, lake.silver, day).limit(0), lake.silver, day)
+    silver = DayTable(spark, lake.silver)
+    silver.publish(silver.read([day]).limit(0), day)
     medallion.run_gold(spark, lake, day)
     assert set(medallion.run_load(spark, lake, day).values()) == {0}
     assert all(df.count() == 0 for df in medallion.read_warehouse(spark, lake).values())

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import rows
-from paytrail.functions.calendar import day_filter
+from paytrail.functions.calendar import day_filter, day_folder
 from paytrail.operators import activity, cleaning, scoring
 from paytrail.operators.quantile import exact_quantile
 from paytrail.plans import views
@@ -107,8 +107,7 @@ def test_median_orders_no_whole_group(stored):
 def test_day_filters_prune_folders(spark, tmp_path):
     root = str(tmp_path / "days")
     for day in (dt.date(2024, 3, 5), dt.date(2024, 3, 6)):
-        tables.overwrite_day(rows.ledger(spark, {}), root, day)
-    day = dt.date(2024, 3, 6)
+        tables.write_table(rows.ledger(spark, {}), day_folder(root, day))
     pruned = tables.read_days(spark, root).where(day_filter(day))
     assert pruned.first().month == "03"
     text = plan(pruned)

@@ -8,7 +8,9 @@ import rows
 from paytrail import contract as c
 from paytrail.operators import activity, publishing, scoring
 from paytrail.plans import views
+from paytrail.functions.calendar import day_folder
 from paytrail.sources import catalog, tables
+from paytrail.sources.snapshots import DayTable
 
 def _stamp():
     return F.lit("2024-03-07 00:00:00").cast("timestamp")
@@ -56,37 +58,43 @@ def test_name_helpers(spark):
 
 
 def test_publish_replaces_days_and_keeps_others(spark, tmp_path):
-    path = str(tmp_path / "fact")
+    table = DayTable(spark, str(tmp_path / "fact"))
     two_days = _shaped(spark, {}, {}, dict(transaction_date=dt.date(2024, 3, 6)))[views.FACT]
-    assert tables.publish(two_days, path, "type") == 3
-    assert tables.publish(two_days, path, "type") == 3
-    assert spark.read.parquet(path).count() == 3
-    assert tables.publish(_shaped(spark, {})[views.FACT], path, "type") == 1
-    assert spark.read.parquet(path).count() == 2
-    assert tables.publish(two_days.limit(0), path, "type") == 0
-    assert spark.read.parquet(path).count() == 2
+    assert table.publish(two_days, cluster_by=["type"]) == 3
+    assert table.publish(two_days, cluster_by=["type"]) == 3
+    assert table.read().count() == 3
+    assert table.publish(_shaped(spark, {})[views.FACT]) == 1
+    assert table.read().count() == 2
+    assert table.publish(two_days.limit(0)) == 0
+    assert table.read().count() == 2
     day = dt.date(2024, 3, 6)
-    assert tables.publish(two_days.limit(0), path, "type", day=day) == 0
-    assert spark.read.parquet(path).count() == 1
-    assert tables.publish(two_days, path, "type", day=day) == 1
-    assert spark.read.parquet(path).count() == 2
+    assert table.publish(two_days.limit(0), day) == 0
+    assert table.read().count() == 1
+    assert table.publish(two_days, day) == 1
+    assert table.read().count() == 2
 
 
 def test_catalog_table_and_sql(spark, tmp_path):
-    path = str(tmp_path / "fraud_alerts")
+    table = DayTable(spark, str(tmp_path / "fraud_alerts"))
     alerts = _shaped(spark, dict(isFraud=1))[views.ALERTS]
-    tables.publish(alerts, path, "alert_severity")
-    catalog.create_table(spark, "fraud_alerts", path)
+    table.publish(alerts, cluster_by=["alert_severity"])
+    catalog.create_table(spark, "fraud_alerts", table)
     query = "SELECT NAME_ORIG FROM fraud_alerts WHERE transaction_date = :day"
-    found = catalog.run_sql(spark, query, {"day": dt.date(2024, 3, 5)})
+    first, later = dt.date(2024, 3, 5), dt.date(2024, 3, 6)
+    found = catalog.run_sql(spark, query, {"day": first})
     assert [r[0] for r in found.collect()] == ["C1"]
-    assert catalog.run_sql(spark, query, {"day": dt.date(2024, 3, 6)}).isEmpty()
+    assert catalog.run_sql(spark, query, {"day": later}).isEmpty()
     assert "PartitionFilters: [isnotnull(transaction_date" in _plan(found)
-    later = dt.date(2024, 3, 6)
-    tables.publish(alerts.withColumn("transaction_date", F.lit(later)), path, "alert_severity", day=later)
-    catalog.add_day(spark, "fraud_alerts", later)
-    catalog.add_day(spark, "not_declared", later)
+    table.publish(alerts.withColumn("transaction_date", F.lit(later)), later)
+    catalog.show_day("fraud_alerts", table, later)
+    catalog.show_day("not_declared", table, later)
     assert catalog.run_sql(spark, query, {"day": later}).count() == 1
+    table.publish(alerts.unionByName(alerts).withColumn("name_orig", F.lit("C2")), first)
+    catalog.show_day("fraud_alerts", table, first)
+    assert [r[0] for r in catalog.run_sql(spark, query, {"day": first}).collect()] == ["C2", "C2"]
+    table.publish(alerts.limit(0), first)
+    catalog.show_day("fraud_alerts", table, first)
+    assert catalog.run_sql(spark, query, {"day": first}).isEmpty()
     spark.sql("DROP TABLE fraud_alerts")
 
 
@@ -153,11 +161,19 @@ def test_gates(spark, tmp_path):
     day, root = dt.date(2024, 3, 5), str(tmp_path / "days")
     with pytest.raises(tables.DataGateError):
         tables.require_files(spark, root, day)
-    tables.overwrite_day(rows.ledger(spark, {}).coalesce(1), root, day)
+    tables.write_table(rows.ledger(spark, {}).coalesce(1), day_folder(root, day))
     assert tables.require_files(spark, root, day) == 1
     with pytest.raises(tables.DataGateError, match="at least 2"):
         tables.require_files(spark, root, day, 2)
+    table = DayTable(spark, str(tmp_path / "table"))
+    with pytest.raises(tables.DataGateError):
+        tables.require_day(table, day)
     shaped = _shaped(spark, dict(isFraud=1))
+    table.stage(shaped[views.FACT], day)
+    with pytest.raises(tables.DataGateError):
+        tables.require_day(table, day)
+    table.publish(shaped[views.FACT], day)
+    tables.require_day(table, day)
     tables.require_rows(shaped, day)
     with pytest.raises(tables.DataGateError, match="transaction_summary"):
         tables.require_rows(shaped, dt.date(2024, 3, 6))

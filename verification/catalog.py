@@ -15,9 +15,17 @@ from paytrail.operators import (
 from paytrail.plans import medallion, views
 from paytrail.session import prepare, shared_dir
 from paytrail.sources import ledger_file, tables
+from paytrail.sources.snapshots import DayTable
 from paytrail.streaming import ingest
 from verification import fixture
 
+def store(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows as they are now, stored and read back."""
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 TX = ("nameOrig", "nameDest", "amount", "step", "kafka_offset")
 SCAN_DAY = dt.date(2024, 1, 15)
 SLICE = (100, 500)
@@ -189,11 +197,11 @@ def partition_file_count(spark, sf_dir):
 
 
 def _published(spark, sf_dir, name, times):
-    path = f"{shared_dir(spark, 'publish')}/{name}"
+    table = DayTable(spark, f"{shared_dir(spark, 'publish')}/{name}")
     rows = _table(spark, sf_dir, name)
     for _ in range(times):
-        tables.publish(rows, path, c.WAREHOUSE_TABLES[name][1])
-    return spark.read.parquet(path)
+        table.publish(rows, cluster_by=[c.WAREHOUSE_TABLES[name][1]])
+    return table.read()
 
 
 @query
@@ -212,6 +220,33 @@ def publish_fact(spark, sf_dir):
     return _published(spark, sf_dir, views.FACT, times=1)
 
 
+@query
+def publish_interrupted(spark, sf_dir):
+    """A publish of doubled amounts stops before its commit, and is then run again.
+
+    Readers see the old day after the first, the new one after the second, and the
+    old one again as of the first commit; vacuumed, the table holds what it held.
+    """
+    table = DayTable(spark, shared_dir(spark, "interrupted"))
+    rows = _table(spark, sf_dir, views.FACT)
+    table.publish(rows)
+    first = table.sequence()
+    doubled = rows.withColumn("amount", F.col("amount") * 2)
+
+    def held(phase, **which):
+        days = table.read(**which).groupBy("transaction_date").agg(
+            F.count(F.lit(1)).alias("row_count"), total_cents(F.col("amount")).alias("cents")
+        )
+        return store(days.withColumn("phase", F.lit(phase)), "held")
+
+    table.stage(doubled, SCAN_DAY)
+    phases = [held("interrupted")]
+    table.commit(table.stage(doubled, SCAN_DAY))
+    phases += [held("rerun"), held("as of the first", as_of=first)]
+    table.vacuum(keep=1)
+    return functools.reduce(DataFrame.unionByName, [*phases, held("vacuumed")])
+
+
 # --- enrichment and routing ------------------------------------------------
 
 
@@ -550,8 +585,8 @@ def job_rerun_emptied_day(spark, sf_dir):
     lake, emptied = _lake(spark, sf_dir, "emptied"), SCAN_DAY
     for day in (emptied, emptied + dt.timedelta(days=1)):
         medallion.run_day(spark, lake, day)
-    rows = tables.read_table(spark, f"{lake.silver}").where(F.lit(False)).drop(*c.DAY_PARTITION)
-    tables.overwrite_day(rows, lake.silver, emptied)
+    silver = DayTable(spark, lake.silver)
+    silver.publish(silver.read([emptied]).where(F.lit(False)), emptied)
     medallion.run_gold(spark, lake, emptied)
     medallion.run_load(spark, lake, emptied)
     return quality.table_counts(medallion.read_warehouse(spark, lake))

@@ -360,6 +360,11 @@ _SELECTS = {
         count(DISTINCT (nameOrig, step, amount, nameDest)) AS id_count
         FROM silver GROUP BY tx_date""",
     "publish_fact": f"SELECT {FACT} FROM silver",
+    "publish_interrupted": f"""SELECT phase, {TX_DATE}, count(*) AS row_count,
+        CAST(sum(CAST(round(amount * 100) AS BIGINT) * CASE WHEN phase IN ('rerun', 'vacuumed')
+            AND {ON_DAY} THEN 2 ELSE 1 END) AS BIGINT) AS cents
+        FROM silver, (VALUES ('interrupted'), ('rerun'), ('as of the first'), ('vacuumed')) p(phase)
+        GROUP BY phase, tx_date""",
     # enrichment and routing
     "enrich": f"SELECT {BROKER}, {MESSAGE} FROM message",
     "date_parts": f"SELECT kafka_offset, {DAY_PARTS} FROM message",
