@@ -9,11 +9,10 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from paytrail import contract as c
-from paytrail.functions.calendar import day_filter, day_folder
 from paytrail.operators import activity, cleaning, metrics, publishing, quality, routing, scoring
 from paytrail.sources import catalog, tables
+from paytrail.sources.landing import BRONZE, Landing
 from paytrail.sources.snapshots import DayTable
-from paytrail.streaming.ingest import BRONZE, read_route
 
 log = logging.getLogger(__name__)
 
@@ -67,6 +66,13 @@ class Lake:
     def bronze(self) -> str:
         return f"{self.landing}/route={BRONZE}"
 
+    @property
+    def compacted(self) -> str:
+        return f"{self.root}/compacted/{BRONZE}"
+
+    def landed(self, spark: SparkSession) -> Landing:
+        return Landing(spark, self.landing, self.compacted)
+
     @property
     def silver(self) -> str:
         return f"{self.root}/silver/transactions"
@@ -85,7 +91,7 @@ class Lake:
 
 def run_silver(spark: SparkSession, lake: Lake, day: dt.date) -> dict:
     """Bronze to Silver for one day. Metrics are observed during the write."""
-    bronze = read_route(spark, lake.landing, BRONZE).where(day_filter(day)).drop(*c.DAY_PARTITION)
+    bronze = lake.landed(spark).read_day(day)
     read, complete, seen = Observation(), Observation(), Observation()
     counted = metrics.count_rows(to_complete(metrics.count_rows(bronze, read)), complete)
     stamped = to_latest(counted).withColumn("silver_processed_at", F.current_timestamp())
@@ -170,7 +176,7 @@ def run_day(
     At the end the tables in ``must_have`` need rows. By default that is all of them, so a day
     without alerts is published and then rejected; leave the alert table out to accept it.
     """
-    tables.require_files(spark, lake.bronze, day)
+    lake.landed(spark).require_files(day)
     seen = {"silver": run_silver(spark, lake, day)}
     seen["gold"] = run_gold(spark, lake, day)
     for path in (lake.alerts, lake.summary):
@@ -189,12 +195,13 @@ def run_quality(spark: SparkSession, lake: Lake, day: dt.date, only=None) -> Dat
     silver, alerts, summary = (DayTable(spark, p) for p in (lake.silver, lake.alerts, lake.summary))
     published = {name: DayTable(spark, lake.warehouse(name)) for name in c.WAREHOUSE_TABLES}
 
+    landing = lake.landed(spark)
+
     def landed() -> int:
-        return tables.count_files(spark, day_folder(lake.bronze, day))
+        return len(landing.day_files(day))
 
     def bronze_report() -> DataFrame:
-        rows = read_route(spark, lake.landing, BRONZE).where(day_filter(day))
-        return quality.check_bronze(rows, landed())
+        return quality.check_bronze(landing.read_day(day), landed())
 
     def gold_report() -> DataFrame:
         return quality.check_gold(alerts.read([day]), summary.read([day]))

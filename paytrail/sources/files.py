@@ -1,9 +1,19 @@
-"""Removing stored folders, on any file system Spark reaches."""
+"""Looking up and removing stored folders, on any file system Spark reaches."""
 
 from pyspark.sql import SparkSession
 
 
+def _at(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, folder = _at(spark, path)
+    return system.exists(folder)
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     """Delete a folder with all it holds; whether there was one."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    system, folder = _at(spark, path)
+    return system.delete(folder, True)

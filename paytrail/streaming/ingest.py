@@ -11,12 +11,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from paytrail import contract as c
 from paytrail.operators.routing import REASONS, ingest
+from paytrail.sources.landing import BRONZE, LANDED_SCHEMA, QUARANTINE
 from paytrail.sources.tables import day_text
 
-BRONZE, QUARANTINE = "bronze", "quarantine"
-
-# What a landed row holds; the last two only in quarantine.
-LANDED = [*c.BRONZE_SCHEMA.names, REASONS, "raw_value"]
+LANDED = [*LANDED_SCHEMA.names, *c.DAY_PARTITION]
 
 
 def append_stream(

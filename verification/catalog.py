@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paytrail import contract as c
+from paytrail.functions.calendar import day_folder
 from paytrail.functions.money import total_cents
 from paytrail.operators import (
     activity, cleaning, metrics, publishing, quality, routing, scoring,
@@ -579,6 +580,17 @@ def _lake(spark, sf_dir, purpose):
     return medallion.Lake(_ingested(spark, sf_dir, purpose).removesuffix("/landing"))
 
 
+@query
+def compacted_day(spark, sf_dir):
+    """One day of the landing, read from its compacted files; a file of no commit is beside them."""
+    lake = _lake(spark, sf_dir, "compacted")
+    landing = lake.landed(spark)
+    landing.read_day(SCAN_DAY).write.mode("append").parquet(day_folder(lake.bronze, SCAN_DAY))
+    landing.compact(SCAN_DAY)
+    landing.require_files(SCAN_DAY)
+    return landing.read_day(SCAN_DAY).drop("ingested_at")
+
+
 @query
 def job_rerun_emptied_day(spark, sf_dir):
     """Two days are loaded, one is emptied in Silver and rerun: only the other has rows."""

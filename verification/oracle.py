@@ -350,6 +350,8 @@ _SELECTS = {
     "bronze_stream": f"SELECT {BROKER}, {ENVELOPE_TIME}, {MESSAGE}, {DAY_PARTS} FROM bronze",
     "quarantine_stream": f"""SELECT {BROKER}, {ENVELOPE_TIME}, {MESSAGE}, {DAY_PARTS},
         quarantine_reason FROM rejected""",
+    "compacted_day": f"""SELECT {BROKER}, {ENVELOPE_TIME}, {MESSAGE} FROM bronze
+        WHERE CAST(sent_ts AS DATE) = DATE '2024-01-15'""",
     "stream_dedup": "SELECT DISTINCT nameOrig, nameDest, amount, step FROM message",
     "partition_file_count": f"""SELECT {DAY_PARTS}, true AS has_files, count(*) AS row_count
         FROM bronze GROUP BY ALL""",
