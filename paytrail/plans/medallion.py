@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from paytrail import contract as c
 from paytrail.operators import activity, cleaning, metrics, publishing, quality, routing, scoring
+from paytrail.plans import partials
 from paytrail.sources import catalog, tables
 from paytrail.sources.landing import BRONZE, Landing
 from paytrail.sources.snapshots import DayTable
@@ -88,6 +89,9 @@ class Lake:
     def warehouse(self, table: str) -> str:
         return f"{self.root}/warehouse/{table}"
 
+    def partials(self, table: str) -> str:
+        return f"{self.root}/partials/{table}"
+
 
 def run_silver(spark: SparkSession, lake: Lake, day: dt.date) -> dict:
     """Bronze to Silver for one day. Metrics are observed during the write."""
@@ -157,6 +161,9 @@ def run_load(
         rows = publishing.shape(source.read([day]), name, F.current_timestamp())
         target = DayTable(spark, lake.warehouse(name))
         loaded[name] = target.publish(rows, day, [c.WAREHOUSE_TABLES[name][1]])
+        if name in partials.PARTIALS:
+            reduced = partials.PARTIALS[name](target.read([day]))
+            DayTable(spark, lake.partials(name)).publish(reduced, day)
         if database:
             catalog.show_day(f"{database}.{name}", target, day)
         if not loaded[name]:
@@ -168,6 +175,12 @@ def read_warehouse(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
     return {name: DayTable(spark, lake.warehouse(name)).read() for name in c.WAREHOUSE_TABLES}
 
 
+def read_report(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
+    """A report from the partials of all days loaded; the warehouse tables are not read."""
+    table, build = partials.REPORTS[name]
+    return build(DayTable(spark, lake.partials(table)).read())
+
+
 def run_day(
     spark: SparkSession, lake: Lake, day: dt.date, must_have=tuple(c.WAREHOUSE_TABLES)
 ) -> dict:

@@ -371,6 +371,24 @@ def pipeline_health(tables: dict[str, DataFrame]) -> DataFrame:
     ))
 
 
+def alerts_with_history(tables: dict[str, DataFrame]) -> DataFrame:
+    """Each alert with what its sender has done on all days loaded.
+
+    All three tables are reduced by, and joined on, the sender alone. Over tables in buckets of
+    it (``catalog.save_bucketed``) nothing is shuffled; merging keeps it so, where a broadcast would
+    send a whole side to every task.
+    """
+    history = tables[FACT].groupBy("name_orig").agg(
+        _rows().alias("history_tx"), total(_amount()).alias("history_amount"),
+        F.min("transaction_date").alias("first_seen"),
+    )
+    days = tables[SUMMARY].groupBy("name_orig").agg(
+        _rows().alias("active_days"), F.max("hours_active").alias("most_hours_active"),
+    )
+    chosen = tables[ALERTS].select("alert_id", "kafka_offset", "name_orig", "amount", "alert_severity")
+    return chosen.join(history.hint("merge"), "name_orig", "left").join(days.hint("merge"), "name_orig", "left")
+
+
 @dataclass(frozen=True)
 class View:
     table: str

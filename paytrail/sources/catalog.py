@@ -40,6 +40,17 @@ def _point(spark: SparkSession, table: str, days: DayTable, day: Day) -> None:
     spark.sql(f"ALTER TABLE {table} {where} SET LOCATION '{days.folder(day)}'")
 
 
+def save_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
+    """Save a managed table in buckets of ``key``, sorted inside each.
+
+    Tables with as many buckets of one key join and aggregate by it without a shuffle.
+    """
+    (
+        df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+        .mode("overwrite").saveAsTable(table)
+    )
+
+
 def run_sql(spark: SparkSession, query: str, args: dict | None = None) -> DataFrame:
     """Run SQL with named parameters, e.g. ``WHERE transaction_date = :day``."""
     return spark.sql(query, args=args or {})

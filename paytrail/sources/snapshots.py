@@ -7,6 +7,7 @@ changes nothing, and a rerun writes another version. Versions replaced stay read
 of an earlier commit until they are vacuumed.
 
     root/version=<id>/transaction_date=<day>/part-*.parquet
+    root/bounds/version=<id>/part-*.parquet      least and greatest values of clustered files
     root/commits/<number>-<id>/part-*.json
 """
 
@@ -20,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from paytrail.operators import clustering
 from paytrail.sources import files
 
 # What a commit says of each of its days.
@@ -84,6 +86,19 @@ class DayTable:
         columns = T.StructType([f for f in df.schema.fields if f.name != self.column]).json()
         return Staged(version, counts if day is None else {day: counts.get(day, 0)}, columns)
 
+    def stage_clustered(self, df: DataFrame, day: dt.date, columns: list[str], files: int) -> Staged:
+        """A version of one day in about ``files`` files along the curve over ``columns``, with their bounds."""
+        version = uuid.uuid4().hex
+        rows = clustering.lay_out(df.where(F.col(self.column) == F.lit(day)), columns, files)
+        folder = f"{self.root}/version={version}"
+        rows.write.partitionBy(self.column).parquet(folder)
+        counts = self._counted(folder)
+        if counts:
+            written = self.spark.read.parquet(folder)
+            clustering.file_bounds(written, columns).write.parquet(f"{self.root}/bounds/version={version}")
+        kept = T.StructType([f for f in df.schema.fields if f.name != self.column])
+        return Staged(version, {day: counts.get(day, 0)}, kept.json())
+
     def _counted(self, folder: str) -> dict[dt.date | None, int]:
         """Rows per day of the files just written, from their footers."""
         try:
@@ -163,13 +178,34 @@ class DayTable:
         current, columns = self.snapshot(as_of)
         schema = columns.add(self.column, T.DateType())
         chosen = [d for d in current if d.row_count and (days is None or d.day in days)]
-        if not chosen:
+        return self._open(list(map(self.folder, chosen)), schema)
+
+    def _open(self, paths: list[str], schema: T.StructType) -> DataFrame:
+        """Rows of folders or files of this table, if there are any."""
+        if not paths:
             return self.spark.createDataFrame([], schema)
-        found = (
-            self.spark.read.schema(T.StructType([*schema.fields, T.StructField("version", T.StringType())]))
-            .option("basePath", self.root).parquet(*map(self.folder, chosen))
-        )
-        return found.select(*schema.names)
+        stored = T.StructType([*schema.fields, T.StructField("version", T.StringType())])
+        return self.spark.read.schema(stored).option("basePath", self.root).parquet(*paths).select(*schema.names)
+
+    def look_up(self, within: dict[str, tuple], days=None) -> DataFrame:
+        """Rows in all ranges (first and last value, both included) of ``within``.
+
+        Of clustered days only files whose bounds meet the ranges are opened.
+        """
+        current, columns = self.snapshot()
+        schema = columns.add(self.column, T.DateType())
+        paths = []
+        for at in (d for d in current if d.row_count and (days is None or d.day in days)):
+            bounds = f"{self.root}/bounds/version={at.version}"
+            if not files.exists(self.spark, bounds):
+                paths.append(self.folder(at))
+                continue
+            held = self.spark.read.parquet(bounds)
+            if set(within) <= set(held.schema["least"].dataType.names):
+                paths += [r.file for r in held.where(clustering.meets(within)).select("file").collect()]
+            else:
+                paths.append(self.folder(at))
+        return self._open(paths, schema).where(clustering.inside(within))
 
     # --- upkeep
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import functools
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +14,9 @@ from paytrail.functions.money import total_cents
 from paytrail.operators import (
     activity, cleaning, metrics, publishing, quality, routing, scoring,
 )
-from paytrail.plans import medallion, views
+from paytrail.plans import medallion, partials, views
 from paytrail.session import prepare, shared_dir
+from paytrail.sources import catalog as tables_catalog
 from paytrail.sources import ledger_file, tables
 from paytrail.sources.snapshots import DayTable
 from paytrail.streaming import ingest
@@ -522,6 +524,63 @@ def pipeline_health(spark, sf_dir):
     return views.pipeline_health(_warehouse(spark, sf_dir))
 
 
+LOOKUP = {"step": (342, 342), "amount": (50_000.0, 100_000.0), "name_orig": ("C1", "C3")}
+LOOKUP_FILES = 128
+
+
+@query
+def clustered_lookup(spark, sf_dir):
+    """Ranges of steps, amounts and senders in one day laid out along the curve, from a tenth of its files."""
+    table = DayTable(spark, shared_dir(spark, "clustered"))
+    rows = store(_table(spark, sf_dir, views.FACT), "lookup")
+    table.commit(table.stage_clustered(rows, SCAN_DAY, ["step", "amount", "name_orig"], LOOKUP_FILES))
+    found = table.look_up(LOOKUP, [SCAN_DAY])
+    few = 10 * len(found.inputFiles()) <= len(table.read([SCAN_DAY]).inputFiles())
+    return found.select("transaction_id", "kafka_offset", "step", "amount", F.lit(few).alias("few_files"))
+
+
+@query
+def alerts_with_history(spark, sf_dir):
+    """The three tables in buckets of the sender, joined."""
+    names = {name: f"{name}_{uuid.uuid4().hex[:8]}" for name in c.WAREHOUSE_TABLES}
+    for name, df in _warehouse(spark, sf_dir).items():
+        tables_catalog.save_bucketed(df, names[name], "name_orig", 8)
+    found = views.alerts_with_history({name: spark.table(saved) for name, saved in names.items()})
+    kept = store(found, "history")
+    for saved in names.values():
+        spark.sql(f"DROP TABLE {saved}")
+    return kept
+
+
+def _partials(spark, sf_dir):
+    """Partials of both tables; one day is loaded wrongly first, then again."""
+    found = {}
+    for name, reduce in partials.PARTIALS.items():
+        table = DayTable(spark, f"{shared_dir(spark, 'partials')}/{name}")
+        rows = store(_table(spark, sf_dir, name), "partials")
+        wrong = rows.unionByName(rows.where(F.col("transaction_date") == F.lit(SCAN_DAY)))
+        table.publish(reduce(wrong))
+        table.publish(reduce(rows), SCAN_DAY)
+        found[name] = table.read()
+    return found
+
+
+@query
+def kpi_from_partials(spark, sf_dir):
+    """Both key figure reports, from partials alone, after a rerun of one day."""
+    held = _partials(spark, sf_dir)
+    return partials.kpi_fraud_rate(held[views.FACT]).unionByName(
+        partials.kpi_alert_summary(held[views.ALERTS]), allowMissingColumns=True
+    )
+
+
+@query
+def median_from_sketches(spark, sf_dir):
+    """Per type, whether the median from merged sketches has its rank, counted in the rows."""
+    fact = store(_table(spark, sf_dir, views.FACT), "sketched")
+    return partials.within_rank(fact, partials.median_by_type(partials.fact_partials(fact)))
+
+
 # --- quality ---------------------------------------------------------------
 
 

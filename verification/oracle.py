@@ -468,6 +468,22 @@ _SELECTS = {
         {pct(FRAUD_AMOUNT, total('amount'), 3)} AS fraud_amount_pct FROM silver""",
     "v_kpi_alert_summary": f"""SELECT {SEVERITIES}, {FLAGGED}, max(amount) AS max_flagged_amount
         FROM alert""",
+    "clustered_lookup": f"""SELECT transaction_id, kafka_offset, step, amount, true AS few_files
+        FROM (SELECT {FACT}, tx_date FROM silver) WHERE {ON_DAY} AND step BETWEEN 342 AND 342
+        AND amount BETWEEN 50000 AND 100000 AND name_orig BETWEEN 'C1' AND 'C3'""",
+    "alerts_with_history": f"""SELECT alert_id, kafka_offset, nameOrig AS name_orig, amount, alert_severity,
+        history_tx, history_amount, first_seen, active_days, most_hours_active FROM alert
+        LEFT JOIN (SELECT nameOrig, count(*) AS history_tx, {total('amount')} AS history_amount,
+            {text('min(tx_date)')} AS first_seen FROM silver GROUP BY nameOrig) USING (nameOrig)
+        LEFT JOIN (SELECT nameOrig, count(*) AS active_days, max(hours_active) AS most_hours_active
+            FROM account_day GROUP BY nameOrig) USING (nameOrig)""",
+    "median_from_sketches": """SELECT type, count(amount) AS priced, true AS within_bound
+        FROM silver GROUP BY type""",
+    "kpi_from_partials": f"""SELECT * FROM (SELECT count(*) AS total_transactions, {FRAUD} AS total_fraud,
+        {pct('sum(isFraud)', 'count(*)', 3)} AS fraud_rate_pct,
+        {FRAUD_AMOUNT} AS total_fraud_amount, {total('amount')} AS total_transaction_amount,
+        {pct(FRAUD_AMOUNT, total('amount'), 3)} AS fraud_amount_pct FROM silver) UNION ALL BY NAME
+        SELECT {SEVERITIES}, {FLAGGED}, max(amount) AS max_flagged_amount FROM alert""",
     "v_kpi_account_risk": """SELECT count(DISTINCT nameOrig) AS total_accounts,
         count(DISTINCT nameOrig) FILTER (WHERE account_risk_level = 'HIGH')
             AS high_risk_accounts,
