@@ -13,6 +13,7 @@ from paytrail.operators import activity, cleaning, metrics, publishing, quality,
 from paytrail.plans import partials
 from paytrail.sources import catalog, tables
 from paytrail.sources.landing import BRONZE, Landing
+from paytrail.sources.seen import SeenKeys
 from paytrail.sources.snapshots import DayTable
 
 log = logging.getLogger(__name__)
@@ -93,14 +94,23 @@ class Lake:
         return f"{self.root}/partials/{table}"
 
 
-def run_silver(spark: SparkSession, lake: Lake, day: dt.date) -> dict:
-    """Bronze to Silver for one day. Metrics are observed during the write."""
+def run_silver(spark: SparkSession, lake: Lake, day: dt.date, seen_keys: SeenKeys | None = None) -> dict:
+    """Bronze to Silver for one day. Metrics are observed during the write.
+
+    With ``seen_keys``, messages that an earlier day has had are left out, and the day's keys are
+    recorded once its rows are published.
+    """
     bronze = lake.landed(spark).read_day(day)
     read, complete, seen = Observation(), Observation(), Observation()
     counted = metrics.count_rows(to_complete(metrics.count_rows(bronze, read)), complete)
-    stamped = to_latest(counted).withColumn("silver_processed_at", F.current_timestamp())
+    latest = to_latest(counted)
+    if seen_keys:
+        latest = seen_keys.unseen(latest, day)
+    stamped = latest.withColumn("silver_processed_at", F.current_timestamp())
     table = DayTable(spark, lake.silver)
     rows = table.publish(stamped.observe(seen, *metrics.silver_columns()), day)
+    if seen_keys:
+        seen_keys.record(table.read([day]), day)
     if rows:
         counts = read.get["rows"], complete.get["rows"]
     else:

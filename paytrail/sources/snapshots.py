@@ -139,12 +139,10 @@ class DayTable:
 
     def log(self) -> DataFrame:
         """(sequence, day, version, row_count, columns) of all commits; empty before the first."""
-        try:
-            return self.spark.read.schema(COMMIT).option("recursiveFileLookup", True).json(f"{self.root}/commits")
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return self.spark.createDataFrame([], COMMIT)
-            raise
+        commits = f"{self.root}/commits"
+        if not files.exists(self.spark, commits):
+            return self.spark.createDataFrame([], COMMIT)
+        return self.spark.read.schema(COMMIT).option("recursiveFileLookup", True).json(commits)
 
     def sequence(self) -> int:
         """Number of the last commit, 0 before the first."""

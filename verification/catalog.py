@@ -14,10 +14,12 @@ from paytrail.functions.money import total_cents
 from paytrail.operators import (
     activity, cleaning, metrics, publishing, quality, routing, scoring,
 )
+from paytrail.operators.enrich import enrich as enrich_rows
 from paytrail.plans import medallion, partials, views
 from paytrail.session import prepare, shared_dir
 from paytrail.sources import catalog as tables_catalog
 from paytrail.sources import ledger_file, tables
+from paytrail.sources.seen import SeenKeys
 from paytrail.sources.snapshots import DayTable
 from paytrail.streaming import ingest
 from verification import fixture
@@ -524,7 +526,7 @@ def pipeline_health(spark, sf_dir):
     return views.pipeline_health(_warehouse(spark, sf_dir))
 
 
-LOOKUP = {"step": (342, 342), "amount": (50_000.0, 100_000.0), "name_orig": ("C1", "C3")}
+LOOKUP = {"step": (337, 341), "amount": (1_000.0, 30_000.0), "name_orig": ("C1", "C12")}
 LOOKUP_FILES = 128
 
 
@@ -650,6 +652,35 @@ def compacted_day(spark, sf_dir):
     return landing.read_day(SCAN_DAY).drop("ingested_at")
 
 
+@query
+def dedup_across_days(spark, sf_dir):
+    """Silver of three days when every repeat is sent a day after its message; the second day runs twice."""
+    lake = medallion.Lake(shared_dir(spark, "across"))
+    sent = F.col("kafka_timestamp")
+    rows = fixture.ledger(_events(spark, sf_dir)).withColumn("kafka_timestamp", F.when(
+        F.col("kafka_offset") >= fixture.REPEAT_OFFSET, sent + F.expr("INTERVAL 1 DAY")
+    ).otherwise(sent))
+    messages = enrich_rows(rows, sent)
+    start_landing(messages, lake)
+    seen = SeenKeys(spark, f"seen_{uuid.uuid4().hex[:8]}", buckets=8)
+    for offset in (0, 1, 1, 2):
+        medallion.run_silver(spark, lake, SCAN_DAY + dt.timedelta(days=offset), seen)
+    found = DayTable(spark, lake.silver).read().select("transaction_date", *TX)
+    kept = store(found, "across")
+    spark.sql(f"DROP TABLE {seen.name}")
+    return kept
+
+
+def start_landing(messages: DataFrame, lake: medallion.Lake) -> None:
+    """Land messages through the stream, by way of files in the envelope's form."""
+    topic = f"{lake.root}/topic"
+    spark = messages.sparkSession
+    envelope = fixture.wrapped(messages)
+    envelope.write.parquet(topic)
+    stream = spark.readStream.schema(envelope.schema).parquet(topic)
+    ingest.start_ingest(stream, lake.landing, f"{lake.root}/checkpoint", {"availableNow": True}).awaitTermination()
+
+
 @query
 def job_rerun_emptied_day(spark, sf_dir):
     """Two days are loaded, one is emptied in Silver and rerun: only the other has rows."""

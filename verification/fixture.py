@@ -71,7 +71,12 @@ def messages(source: DataFrame) -> DataFrame:
 
 def envelope(source: DataFrame) -> DataFrame:
     """The same messages as bytes, the way a broker delivers them."""
-    return encode(messages(source)).select(
+    return wrapped(messages(source))
+
+
+def wrapped(enriched: DataFrame) -> DataFrame:
+    """Enriched messages in the broker's envelope."""
+    return encode(enriched).select(
         "key", "value", F.lit("transactions").alias("topic"),
         F.col("kafka_partition").alias("partition"),
         F.col("kafka_offset").alias("offset"),

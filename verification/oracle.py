@@ -352,6 +352,12 @@ _SELECTS = {
         quarantine_reason FROM rejected""",
     "compacted_day": f"""SELECT {BROKER}, {ENVELOPE_TIME}, {MESSAGE} FROM bronze
         WHERE CAST(sent_ts AS DATE) = DATE '2024-01-15'""",
+    "dedup_across_days": f"""SELECT {text('sent_day')} AS transaction_date, {TX} FROM (SELECT *,
+        tx_date + CASE WHEN kafka_offset >= 100000000 THEN 1 ELSE 0 END AS sent_day FROM cleaned)
+        WHERE sent_day BETWEEN DATE '2024-01-15' AND DATE '2024-01-17'
+        QUALIFY sent_day = min(sent_day) OVER (PARTITION BY nameOrig, nameDest, amount, step)
+        AND row_number() OVER (PARTITION BY nameOrig, nameDest, amount, step, sent_day
+            ORDER BY kafka_offset DESC, kafka_partition) = 1""",
     "stream_dedup": "SELECT DISTINCT nameOrig, nameDest, amount, step FROM message",
     "partition_file_count": f"""SELECT {DAY_PARTS}, true AS has_files, count(*) AS row_count
         FROM bronze GROUP BY ALL""",
@@ -469,8 +475,8 @@ _SELECTS = {
     "v_kpi_alert_summary": f"""SELECT {SEVERITIES}, {FLAGGED}, max(amount) AS max_flagged_amount
         FROM alert""",
     "clustered_lookup": f"""SELECT transaction_id, kafka_offset, step, amount, true AS few_files
-        FROM (SELECT {FACT}, tx_date FROM silver) WHERE {ON_DAY} AND step BETWEEN 342 AND 342
-        AND amount BETWEEN 50000 AND 100000 AND name_orig BETWEEN 'C1' AND 'C3'""",
+        FROM (SELECT {FACT}, tx_date FROM silver) WHERE {ON_DAY} AND step BETWEEN 337 AND 341
+        AND amount BETWEEN 1000 AND 30000 AND name_orig BETWEEN 'C1' AND 'C12'""",
     "alerts_with_history": f"""SELECT alert_id, kafka_offset, nameOrig AS name_orig, amount, alert_severity,
         history_tx, history_amount, first_seen, active_days, most_hours_active FROM alert
         LEFT JOIN (SELECT nameOrig, count(*) AS history_tx, {total('amount')} AS history_amount,
