@@ -8,7 +8,7 @@ is. The day's new keys then replace those of its earlier run, so a rerun finds w
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paytrail import contract as c
@@ -20,29 +20,30 @@ class SeenKeys:
     """An index of message keys in the catalog table ``name``, made if it is not there."""
 
     def __init__(self, spark: SparkSession, name: str, key=c.DEDUP_KEY, buckets: int = BUCKETS):
-        self.spark, self.name, self.key = spark, name, list(key)
-        types = {f.name: f.dataType.simpleString() for f in c.MESSAGE_SCHEMA.fields}
-        columns = ", ".join(f"{k} {types[k]}" for k in self.key)
+        self.spark, self.name, self.parts = spark, name, list(key)
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} ({columns}, seen_on DATE) USING parquet "
-            f"PARTITIONED BY (seen_on) CLUSTERED BY ({', '.join(self.key)}) INTO {buckets} BUCKETS"
+            f"CREATE TABLE IF NOT EXISTS {name} (key STRING, seen_on DATE) USING parquet "
+            f"PARTITIONED BY (seen_on) CLUSTERED BY (key) SORTED BY (key) INTO {buckets} BUCKETS"
         )
 
+    def key(self) -> Column:
+        """The key as one text: Spark would not match a bucketed number that is no integer. NULL if a part is."""
+        whole = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in self.parts))
+        return F.when(whole, F.to_json(F.struct(*self.parts)))
+
     def before(self, day: dt.date) -> DataFrame:
-        return self.spark.table(self.name).where(F.col("seen_on") < F.lit(day)).drop("seen_on")
+        return self.spark.table(self.name).where(F.col("seen_on") < F.lit(day)).select("key")
 
     def unseen(self, rows: DataFrame, day: dt.date) -> DataFrame:
         """Rows of a day whose key no earlier day has; keys with a missing part are never copies."""
-        old = self.before(day).withColumnsRenamed({k: f"_{k}" for k in self.key})
-        same = reduce(lambda a, b: a & b, (F.col(k) == F.col(f"_{k}") for k in self.key))
         # Merged, as the index lies in buckets of the key already; it is never sent to every task.
-        return rows.join(old.hint("merge"), same, "left_anti")
+        old = self.before(day).withColumnRenamed("key", "_seen").hint("merge")
+        return rows.withColumn("_key", self.key()).join(old, F.col("_key") == F.col("_seen"), "left_anti").drop("_key")
 
     def record(self, rows: DataFrame, day: dt.date) -> None:
         """Make the keys of ``rows``, which must not be read from this index, those first seen on ``day``."""
-        keys = rows.select(*self.key).distinct()
         view = f"_seen_{self.name.replace('.', '_')}"
-        keys.createOrReplaceTempView(view)
+        rows.select(self.key().alias("key")).where("key is not null").distinct().createOrReplaceTempView(view)
         try:
             self.spark.sql(
                 f"INSERT OVERWRITE TABLE {self.name} PARTITION (seen_on = DATE '{day.isoformat()}') SELECT * FROM {view}"
