@@ -52,26 +52,30 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is plain text up to the end tag, whatever it looks like. Fixed values of the markup language.
 RAW = frozenset("script style textarea title iframe noscript template".split())
-#: Names in class, id, role or label that mark something beside the article. A name counts as a
-#: whole: besides these words it may only say where the thing is or what it is made of.
-_ASIDE = re.compile(
-    r"(?:(?:site|main|global|top|bottom|left|right|primary|secondary|mobile|desktop|sticky|floating|js|post|page|user|"
-    r"author|skip|email|google|display)[-_]+)*"
-    r"(?:ad|ads|advert[^\W_]*|adsense|banner|sponsor[^\W_]*|promo[^\W_]*|sidebar[^\W_]*|side-bar|menu[^\W_]*|nav[^\W_]*|"
-    r"breadcrumb[^\W_]*|footer|(?<!post-)(?<!post_)(?<!page-)(?<!page_)header|masthead|cookie[^\W_]*|consent|notice|gdpr|"
-    r"popup|modal|newsletter|subscri[^\W_]*|comment[^\W_]*|respond|replies|disqus[^\W_]*|related|recommend[^\W_]*|share|"
-    r"sharing|social[^\W_]*|widget[^\W_]*|login|signup|search[^\W_]*|pagination|pager|toolbar|copyright|disclaimer)"
-    r"(?:[-_]+(?:\d+|ads?|adsense|banner|promo|sidebar|menu|nav|navigation|footer|header|cookies?|consent|notice|gdpr|popup|"
-    r"modal|newsletter|comments?|related|share|sharing|social|media|widgets?|login|signup|search|pagination|bar|area|box|"
-    r"block|button|buttons|btn|container|content|dialog|fixed|form|group|icon|icons|inner|item|items|left|link|links|list|"
-    r"main|message|outer|overlay|panel|policy|posts|articles|stories|primary|right|secondary|section|slot|sticky|text|thread|"
-    r"title|toggle|top|bottom|unit|wrap|wrapper|expand|sm|md|lg|xl))*"
+#: Words in a class, id or label that mark something beside the article; a star stands for any ending. Fixed values.
+ASIDE_WORDS = (
+    "ad ads advert* adsense alert banner sponsor* promo* sidebar* menu* nav* breadcrumb* footer header masthead cookie* "
+    "consent notice gdpr popup modal newsletter subscri* comment* respond replies disqus* related recommend* share "
+    "sharing social* widget* login signup search* pagination pager toolbar copyright disclaimer".split()
 )
+#: Words that say where such a thing is, whose it is or what it is made of. Fixed values.
+NEUTRAL_WORDS = frozenset(
+    "site main global top bottom left right primary secondary mobile desktop sticky floating js post page user author "
+    "skip email google display reader readers visitor article entry privacy box side bar area block button buttons btn "
+    "container content dialog fixed form group icon icons inner item items link links list media message outer overlay "
+    "panel policy posts articles stories section slot text thread title toggle unit wrap wrapper expand sm md lg xl".split()
+)
+#: Words beside which a header belongs to the article. Fixed values.
+OWN_HEADER = frozenset("post page article entry section".split())
+#: ARIA roles of what is beside the article. Fixed values.
+ASIDE_ROLES = frozenset(
+    "complementary contentinfo banner navigation search alert alertdialog dialog menu menubar form toolbar".split()
+)
+_ASIDE_WORD = re.compile("|".join(w.replace("*", "[a-z0-9]*") for w in ASIDE_WORDS))
+_SIZE = re.compile(r"\d+(?:x\d+)?")
 _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S
-)
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
 _FIRST_BLOCK = re.compile(rf"</?(?:{'|'.join(sorted(BLOCKS))})(?=[\s/>])", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -97,11 +101,29 @@ class Block:
         return " ".join(html.unescape("".join(self.parts)).split())
 
 
+def _aside_name(name: str) -> bool:
+    """Whether a name says that something is beside the article, in whatever order its words stand.
+
+    One of its words must mark an aside and all others be neutral or a size: ``reader-comments`` and
+    ``ad-300x250`` do, ``has-sidebar`` and ``search-results`` do not.
+    """
+    words = [w for w in re.split(r"[-_:]+", name.lower()) if w]
+    marks = {w for w in words if _ASIDE_WORD.fullmatch(w)}
+    if words[:2] == ["side", "bar"]:
+        marks.add("sidebar")
+    rest = [w for w in words if w not in marks]
+    if marks == {"header"} and OWN_HEADER.intersection(rest):
+        return False
+    return bool(marks) and all(w in NEUTRAL_WORDS or _SIZE.fullmatch(w) for w in rest)
+
+
 def _named_aside(attributes: dict[str, str]) -> bool:
-    """Whether a class, the id, the role or the label names something beside the article."""
-    names = [n for key in ("class", "id", "role") for n in attributes.get(key, "").split()]
+    """Whether the role, a class, the id or the label names something beside the article."""
+    if ASIDE_ROLES.intersection(attributes.get("role", "").lower().split()):
+        return True
+    names = [n for key in ("class", "id") for n in attributes.get(key, "").split()]
     names.append("-".join(attributes.get("aria-label", "").split()))
-    return any(_ASIDE.fullmatch(n.lower()) for n in names)
+    return any(map(_aside_name, names))
 
 
 def _hidden(attributes: dict[str, str]) -> bool:
@@ -127,6 +149,53 @@ def _marks(tag: str) -> tuple[bool, bool]:
     return _named_aside(attributes), _hidden(attributes)
 
 
+class _Scanner:
+    """Finds the tags of a page in one pass, however broken: no place is searched twice for one sign."""
+
+    def __init__(self, page: str):
+        self.page, self.ahead = page, {}
+
+    def _find(self, sign: str, at: int) -> int:
+        """Next place of a sign, -1 for none; what was found ahead is kept."""
+        place = self.ahead.get(sign, 0)
+        if place == -1 or place >= at and sign in self.ahead:
+            return place
+        place = self.ahead[sign] = self.page.find(sign, at)
+        return place
+
+    def tag(self, at: int):
+        """(start, end, slash, name, attributes) of the next tag or comment; its name is empty then."""
+        page = self.page
+        at = self._find("<", at)
+        while at >= 0:
+            if page.startswith("<!--", at):
+                end = self._find("-->", at + 4)
+                return at, end + 3 if end >= 0 else len(page), "", "", ""
+            if page.startswith(("<!", "<?"), at):
+                end = self._find(">", at)
+                return at, end + 1 if end >= 0 else len(page), "", "", ""
+            if name := _NAME.match(page, at):
+                end = self._close(name.end())
+                if end < 0:
+                    return None
+                return at, end + 1, name[1], name[2], page[name.end() : end]
+            at = self._find("<", at + 1)
+        return None
+
+    def _close(self, at: int) -> int:
+        """Where the tag ends, past quoted values; a quote that is never closed is a sign like any other."""
+        while True:
+            end = self._find(">", at)
+            if end < 0:
+                return -1
+            quotes = [q for q in (self._find('"', at), self._find("'", at)) if 0 <= q < end]
+            if not quotes:
+                return end
+            opened = min(quotes)
+            closed = self._find(self.page[opened], opened + 1)
+            at = closed + 1 if closed >= 0 else opened + 1
+
+
 def _end_of_dropped(page: str, name: str, at: int, ends: dict[str, re.Match | None]) -> int:
     """Where the content of a dropped element ends; ``at`` if its end tag is missing.
 
@@ -194,15 +263,15 @@ def _blocks(page: str, exempt: frozenset[int], holders: dict[int, bool]):
             if state["link"]:
                 current.linked += len("".join(text.split()))
 
-    for tag in _TOKEN.finditer(page):
-        if tag.start() < at:
+    scanner = _Scanner(page)
+    while tag := scanner.tag(at):
+        start, end, slash, name, attributes = tag
+        add(page[at:start])
+        at = end
+        if not name:
             continue
-        add(page[at : tag.start()])
-        at = tag.end()
-        if not tag[2]:
-            continue
-        name = tag[2].lower()
-        if tag[1]:
+        name = name.lower()
+        if slash:
             if name in BLOCKS:
                 close()
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
@@ -217,26 +286,31 @@ def _blocks(page: str, exempt: frozenset[int], holders: dict[int, bool]):
             add("\n")
             continue
         if name in DROPPED:
-            if not tag[3].endswith("/"):
+            if not attributes.endswith("/"):
                 at = _end_of_dropped(page, name, at, ends)
             continue
-        named, hidden = _marks(tag[3])
+        named, hidden = _marks(attributes)
         aside = name in BOILERPLATE or named or hidden
         if name == "header" and state["main"] and not named:
             aside = False
-        if name in MAIN or name in ("body", "html") or tag.start() in exempt:
+        if name == "article":
+            # A comment or a teaser may be an article, too.
+            aside = named
+            if aside and start not in exempt:
+                holders.setdefault(start, False)
+        if name in ("main", "body", "html") or start in exempt:
             aside = False
         if name in BLOCKS:
             if name in ("p", "li") and stack and stack[-1][0] == name:
                 leave(stack.pop())
             close()
-        if name in VOID or tag[3].endswith("/"):
+        if name in VOID or attributes.endswith("/"):
             continue
         if name in MAIN and state["aside"]:
             for entry in stack:
                 if entry[4] is not None:
                     holders[entry[4]] = holders.get(entry[4], False) or name == "main"
-        main = name in MAIN and not state["main"] and not state["aside"]
+        main = name in MAIN and not state["main"] and not state["aside"] and not aside
         if main:
             state["mains"] += 1
             state["main"] = state["mains"]
@@ -244,7 +318,7 @@ def _blocks(page: str, exempt: frozenset[int], holders: dict[int, bool]):
         state["link"] += name == "a"
         state["heading"] += name in HEADINGS
         loose = aside and not hidden and (name == "form" or name not in BOILERPLATE)
-        stack.append((name, aside, main, name == "a", tag.start() if loose else None))
+        stack.append((name, aside, main, name == "a", start if loose else None))
         if name in BLOCKS:
             close()
     rest = page[at:]
@@ -277,8 +351,9 @@ def first_pass(text: str, link_density: float, main: int, aside: bool) -> int:
 def second_pass(labels: list[int], found: list[tuple]) -> list[bool]:
     """Open blocks take the label of their nearest decided neighbours.
 
-    Inside a main element the element decides: an open block there is good. Elsewhere the
-    nearer neighbour decides, and at equal distance the good one. A heading is kept with all
+    Inside a main element an open block is good, unless it is short and stands between two bad
+    blocks of the element without a heading. Elsewhere the nearer neighbour decides, and at equal
+    distance the good one. A heading is kept with all
     up to a good block after it, and a long block beside a good one, whatever the distance, if no bad
     block lies between. On a page without any good block all open blocks are kept.
     """
@@ -298,10 +373,14 @@ def second_pass(labels: list[int], found: list[tuple]) -> list[bool]:
         if label != OPEN:
             kept.append(label == GOOD)
             continue
-        if main or not some:
+        around = [j for j in (before[i], after[i]) if j is not None]
+        if main:
+            walled = len(around) == 2 and all(labels[j] == BAD and found[j][2] == main for j in around)
+            kept.append(not walled or headed or len(text) >= SHORT_CHARS)
+            continue
+        if not some:
             kept.append(True)
             continue
-        around = [j for j in (before[i], after[i]) if j is not None]
         good = [abs(j - i) for j in around if labels[j] == GOOD]
         bad = [abs(j - i) for j in around if labels[j] == BAD]
         leads = headed and after[i] is not None and labels[after[i]] == GOOD
