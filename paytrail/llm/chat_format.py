@@ -149,19 +149,21 @@ def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTO
     joined = rows.select("row", "conv_id", "kind", "cost", "piece").join(plan, "row")
     spread = joined.withColumn("own", stretch).withColumn("stretch", F.explode(there))
     turn = F.struct("first", "rank", "cost", "kind", "piece", (F.col("own") == F.col("stretch")).alias("own"))
-    gathered = spread.groupBy("conv_id", "stretch", "room", "back", "opening", "total").agg(
+    # Stored, as both branches below read it: texts move twice, to their plan and to their stretch.
+    gathered = store(spread.groupBy("conv_id", "stretch", "room", "back", "opening", "total").agg(
         F.sort_array(F.collect_list(turn)).alias("turns")
-    )
+    ), "chat-gathered")
     later = gathered.where((F.col("stretch") > 0) & (F.col("opening") > 0))
     # The system turn reaches its windows in shares, so a long conversation is not one key.
-    openings = joined.where((F.col("rank") == 0) & (F.col("kind") == "system") & (F.col("total") > F.col("room"))).select(
-        F.col("conv_id").alias("conv"), F.col("piece").alias("system"),
+    first = F.get("turns", F.lit(0))
+    openings = gathered.where((F.col("stretch") == 0) & (F.col("opening") > 0)).select(
+        F.col("conv_id").alias("conv"), first["piece"].alias("system"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("total") / F.col("room") / SYSTEM_SHARE))).alias("share"),
     )
     same = F.col("conv_id").eqNullSafe(F.col("conv")) & (F.floor(F.col("stretch") / SYSTEM_SHARE) == F.col("share"))
     headed = later.join(openings, same).select(*gathered.columns, "system")
     plain = gathered.where((F.col("stretch") == 0) | (F.col("opening") == 0)).withColumn(
-        "system", F.when(F.col("opening") > 0, F.get("turns", F.lit(0))["piece"])
+        "system", F.when(F.col("opening") > 0, first["piece"])
     )
     return _cut(headed.unionByName(plain))
 

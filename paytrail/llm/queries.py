@@ -245,7 +245,8 @@ def op13_budgeted_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         F.lit("</s>[INST] ok [/INST]").alias("text"),
     )
-    return chat_format.read_back(chat_format.windows(table.unionByName(more)))
+    windows = common.store(chat_format.windows(table.unionByName(more)), "chat-windows")
+    return chat_format.read_back(windows)
 
 
 # Escaped texts are longer by one character for each control string; marks by role are fixed.
