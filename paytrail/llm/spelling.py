@@ -30,6 +30,8 @@ DOMINANCE = 2
 #: Distinct words a task counts before it hands them on, and neighbours it makes at a time.
 HELD_WORDS = 200_000
 HELD_NEIGHBOURS = 1 << 20
+#: Reduced words whose neighbourhoods one task makes.
+TASK_CLASSES = 20_000
 
 _ODD = 0x9E3779B97F4A7C15
 
@@ -193,8 +195,9 @@ def near_words(vocabulary: DataFrame, symbols: int = SYMBOLS) -> DataFrame:
     """
     words = store(reduced_words(vocabulary, symbols), "spelling-reduced")
     classes = store(words.groupBy("class").agg(F.min("word").alias("word")), "spelling-classes")
+    tasks = max(1, -(-classes.count() // TASK_CLASSES))
     meet = store(
-        neighbourhoods(classes, symbols)
+        neighbourhoods(classes.repartition(tasks, "class"), symbols)
         .join(classes.select(F.col("class").alias("other")), "other").select("class", "other").distinct(),
         "spelling-meet",
     )
