@@ -11,20 +11,21 @@ from pyspark.sql import functions as F
 from paytrail import contract as c
 from paytrail.functions.calendar import day_parts, moment
 from paytrail.functions.predicates import holds, pipe_list
+from paytrail.operators.rescue import FAULTS, RESCUED, rescue
 
 REASONS = "quarantine_reason"
 
 
 def parse(envelope: DataFrame) -> DataFrame:
     """Decode message bytes into columns; keep broker position and the raw text."""
-    text = F.col("value").cast("string")
-    return envelope.select(
-        F.col("partition").alias("kafka_partition"),
-        F.col("offset").alias("kafka_offset"),
-        F.col("timestamp").alias("kafka_timestamp"),
-        text.alias("raw_value"),
-        F.from_json(text, c.MESSAGE_SCHEMA).alias("message"),
-    ).select("kafka_partition", "kafka_offset", "kafka_timestamp", "raw_value", "message.*")
+    position = {name: F.col(name.removeprefix("kafka_")) for name in c.BROKER_SCHEMA.names}
+    decoded = envelope.withColumn("raw_value", F.col("value").cast("string"))
+    message = F.from_json("raw_value", c.MESSAGE_SCHEMA)
+    fields = {name: message[name] for name in c.MESSAGE_SCHEMA.names}
+    return decoded.select(
+        *(at.alias(name) for name, at in position.items()), "raw_value",
+        *(value.alias(name) for name, value in fields.items()),
+    )
 
 
 def with_day_partition(parsed: DataFrame) -> DataFrame:
@@ -51,7 +52,7 @@ def judge(parsed: DataFrame) -> DataFrame:
 
 
 def valid(judged: DataFrame) -> DataFrame:
-    return judged.where(F.col(REASONS).isNull()).drop(REASONS, "raw_value")
+    return judged.where(F.col(REASONS).isNull()).drop(REASONS, "raw_value", RESCUED, FAULTS)
 
 
 def quarantined(judged: DataFrame) -> DataFrame:
@@ -59,6 +60,9 @@ def quarantined(judged: DataFrame) -> DataFrame:
 
 
 def ingest(envelope: DataFrame) -> DataFrame:
-    """Parsed, stamped, partitioned and judged messages; batch or stream."""
-    parsed = parse(envelope).withColumn("ingested_at", F.current_timestamp())
+    """Parsed, stamped, partitioned and judged messages; batch or stream.
+
+    What a row lost in parsing stays beside it, whichever route it takes.
+    """
+    parsed = rescue(parse(envelope)).withColumn("ingested_at", F.current_timestamp())
     return judge(with_day_partition(parsed))

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from paytrail import contract as c
 from paytrail.functions.calendar import day_folder
+from paytrail.operators.rescue import FAULTS, RESCUED
 from paytrail.operators.routing import REASONS
 from paytrail.sources import files
 from paytrail.sources.snapshots import DayTable, NoSnapshot
@@ -22,10 +23,11 @@ from paytrail.sources.tables import DataGateError
 BRONZE, QUARANTINE = "bronze", "quarantine"
 DAY, ORIGIN = "landed_day", "landed_file"
 
-# What a landed row holds; the last two only in quarantine.
+# What a landed row holds. Reason and raw text only in quarantine, rescued fields where some are.
 LANDED_SCHEMA = T.StructType([
     *(f for f in c.BRONZE_SCHEMA.fields if f.name not in c.DAY_PARTITION),
     T.StructField(REASONS, T.StringType()), T.StructField("raw_value", T.StringType()),
+    T.StructField(RESCUED, T.StringType()), T.StructField(FAULTS, T.StringType()),
 ])
 # Fields of a line in the log of Spark's file sink.
 _LOGGED = "path string, size long, action string"
@@ -91,7 +93,7 @@ class Landing:
 
     def read_day(self, day: dt.date) -> DataFrame:
         """Bronze rows of one day, compacted or not, without its day columns."""
-        return self._whole(day).drop(ORIGIN, REASONS, "raw_value")
+        return self._whole(day).drop(ORIGIN, REASONS, "raw_value", RESCUED, FAULTS)
 
     def compact(self, day: dt.date, cluster_by=("nameOrig",)) -> int:
         """Rewrite a day's committed rows into even files; returns the rows written.

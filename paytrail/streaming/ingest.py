@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from paytrail import contract as c
+from paytrail.operators.rescue import FAULTS, RESCUED
 from paytrail.operators.routing import REASONS, ingest
 from paytrail.sources.landing import BRONZE, LANDED_SCHEMA, QUARANTINE
 from paytrail.sources.tables import day_text
@@ -61,7 +62,7 @@ def read_route(spark: SparkSession, landing: str, route: str) -> DataFrame:
     """Committed rows of one route; Spark prunes to its folder."""
     rows = day_text(spark.read.parquet(landing))
     chosen = rows.where(F.col("route") == route).drop("route")
-    return chosen.drop(REASONS, "raw_value") if route == BRONZE else chosen
+    return chosen.drop(REASONS, "raw_value", RESCUED, FAULTS) if route == BRONZE else chosen
 
 
 def drop_repeats(messages: DataFrame, delay: str = "1 hour", key=c.DEDUP_KEY) -> DataFrame:

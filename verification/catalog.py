@@ -166,7 +166,7 @@ def bronze_stream(spark, sf_dir):
 def quarantine_stream(spark, sf_dir):
     landing = _ingested(spark, sf_dir, "quarantine")
     rows = ingest.read_route(spark, landing, ingest.QUARANTINE)
-    return rows.drop("ingested_at", "raw_value")
+    return rows.drop("ingested_at", "raw_value", "rescued_fields", "rescue_reason")
 
 
 @query
@@ -286,6 +286,13 @@ def quarantine_reasons(spark, sf_dir):
 # --- Silver ----------------------------------------------------------------
 
 
+@query
+def rescued_fields(spark, sf_dir):
+    """Messages with broken, mistyped and unknown parts, by the same read as the stream's."""
+    odd = fixture.garbled(fixture.envelope(_events(spark, sf_dir)))
+    return routing.ingest(odd).select("kafka_offset", "nameOrig", "rescued_fields", "rescue_reason")
+
+
 @query
 def silver_cast(spark, sf_dir):
     return cleaning.cast_types(_messages(spark, sf_dir)).drop("kafka_timestamp")

@@ -82,3 +82,16 @@ def wrapped(enriched: DataFrame) -> DataFrame:
         F.col("kafka_offset").alias("offset"),
         F.col("kafka_timestamp").alias("timestamp"),
     )
+
+
+def garbled(wrapped_messages: DataFrame) -> DataFrame:
+    """Some messages cut off, some with a mistyped amount or flag, some with a field nobody knows."""
+    text, n = F.col("value").cast("string"), F.col("offset")
+    spoilt = (
+        F.when(n % 37 == 0, F.substr(text, F.lit(1), F.length(text) - 1))
+        .when(n % 41 == 0, F.regexp_replace(text, '"amount":[^,]*', '"amount":"much"'))
+        .when(n % 43 == 0, F.regexp_replace(text, "^.", '{"channel":{"app":"web","hops":[1,2]},'))
+        .when(n % 47 == 0, F.regexp_replace(text, '"isFlaggedFraud":[^,]*', '"isFlaggedFraud":[]'))
+        .otherwise(text)
+    )
+    return wrapped_messages.withColumn("value", spoilt.cast("binary"))

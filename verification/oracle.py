@@ -378,6 +378,14 @@ _SELECTS = {
     "date_parts": f"SELECT kafka_offset, {DAY_PARTS} FROM message",
     "bronze_valid": f"SELECT {BROKER}, {MESSAGE} FROM bronze",
     "quarantine": f"SELECT {BROKER}, {MESSAGE} FROM rejected",
+    "rescued_fields": """SELECT kafka_offset, CASE WHEN odd <> 'cut' THEN nameOrig END AS nameOrig,
+        CASE odd WHEN 'amount' THEN '{"amount":"much"}' WHEN 'flag' THEN '{"isFlaggedFraud":[]}'
+             WHEN 'unknown' THEN '{"channel":{"app":"web","hops":[1,2]}}' END AS rescued_fields,
+        CASE odd WHEN 'cut' THEN 'json_unreadable' WHEN 'amount' THEN 'field_mistyped:amount'
+             WHEN 'flag' THEN 'field_mistyped:isFlaggedFraud' END AS rescue_reason
+        FROM (SELECT *, CASE WHEN kafka_offset % 37 = 0 THEN 'cut' WHEN kafka_offset % 41 = 0 THEN 'amount'
+            WHEN kafka_offset % 43 = 0 THEN 'unknown' WHEN kafka_offset % 47 = 0 THEN 'flag' ELSE 'none'
+            END AS odd FROM message)""",
     "quarantine_reasons": "SELECT kafka_offset, quarantine_reason FROM rejected",
     # silver
     "silver_cast": f"""SELECT {BROKER}, {MESSAGE} FROM (SELECT * REPLACE (
