@@ -14,6 +14,7 @@ from paytrail.operators.rescue import FAULTS, RESCUED
 from paytrail.operators.routing import REASONS, ingest
 from paytrail.sources.landing import BRONZE, LANDED_SCHEMA, QUARANTINE
 from paytrail.sources.tables import day_text
+from paytrail.streaming.batches import observe_routes
 
 LANDED = [*LANDED_SCHEMA.names, *c.DAY_PARTITION]
 
@@ -43,11 +44,20 @@ def routed(envelope: DataFrame) -> DataFrame:
 
 
 def start_ingest(
-    envelope: DataFrame, landing: str, checkpoint: str, trigger=None
+    envelope: DataFrame, landing: str, checkpoint: str, trigger=None,
+    repeat_delay: str | None = None, metrics: str | None = None,
 ) -> StreamingQuery:
-    return append_stream(
-        routed(envelope), landing, checkpoint, ("route", *c.DAY_PARTITION), trigger
-    )
+    """Land both routes of a topic.
+
+    With ``repeat_delay``, copies of valid messages that arrive within it are not landed again. With
+    ``metrics``, each batch's counts are observed under that name; see ``batches.ProgressLog``.
+    """
+    rows = routed(envelope)
+    if repeat_delay:
+        rows = drop_repeated_valid(rows, repeat_delay)
+    if metrics:
+        rows = observe_routes(rows, metrics)
+    return append_stream(rows, landing, checkpoint, ("route", *c.DAY_PARTITION), trigger)
 
 
 def run_until_stopped(query: StreamingQuery) -> None:
@@ -78,3 +88,11 @@ def drop_repeats(messages: DataFrame, delay: str = "1 hour", key=c.DEDUP_KEY) ->
         .dropDuplicatesWithinWatermark(list(key))
         .drop("_arrived")
     )
+
+
+def drop_repeated_valid(rows: DataFrame, delay: str) -> DataFrame:
+    """``drop_repeats`` among valid rows; a quarantined row is kept unless its broker position repeats."""
+    held = F.col(REASONS).isNotNull()
+    position = F.concat_ws(":", "kafka_partition", "kafka_offset")
+    keyed = rows.withColumn("_held", F.when(held, position))
+    return drop_repeats(keyed, delay, (*c.DEDUP_KEY, "_held")).drop("_held")
