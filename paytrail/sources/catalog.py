@@ -1,6 +1,7 @@
 """Warehouse tables and views in the session catalog."""
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,6 +41,17 @@ def _point(spark: SparkSession, table: str, days: DayTable, day: Day) -> None:
     spark.sql(f"ALTER TABLE {table} {where} SET LOCATION '{days.folder(day)}'")
 
 
+def create_views(spark: SparkSession, database: str, definitions: dict[str, Callable[[str], str]]) -> list[str]:
+    """Create or replace views in a catalog database over its declared tables.
+
+    A definition gives a view's SELECT for a database. The views last as long as the catalog
+    and are read from any session; they see a day as soon as ``show_day`` points to it.
+    """
+    for name, define in definitions.items():
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS {define(database)}")
+    return [f"{database}.{name}" for name in definitions]
+
+
 def save_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
     """Save a managed table in buckets of ``key``, sorted inside each.
 

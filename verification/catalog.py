@@ -4,6 +4,7 @@ import datetime as dt
 import functools
 import uuid
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,13 +16,13 @@ from paytrail.operators import (
     activity, cleaning, metrics, publishing, quality, routing, scoring,
 )
 from paytrail.operators.enrich import enrich as enrich_rows
-from paytrail.plans import medallion, partials, views
+from paytrail.plans import lasting, medallion, partials, views
 from paytrail.session import prepare, shared_dir
 from paytrail.sources import catalog as tables_catalog
 from paytrail.sources import ledger_file, tables
 from paytrail.sources.seen import SeenKeys
 from paytrail.sources.snapshots import DayTable
-from paytrail.streaming import ingest
+from paytrail.streaming import batches, ingest
 from verification import fixture
 
 def store(df: DataFrame, purpose: str) -> DataFrame:
@@ -180,6 +181,86 @@ def stream_dedup(spark, sf_dir):
     return spark.read.parquet(f"{work}/rows")
 
 
+BATCHES = 6
+BY_FILE = {"availableNow": True}
+
+
+def _topic(spark, sf_dir, purpose, *parts):
+    """The envelope in files, read as a stream of one file a batch; parts come one after the other."""
+    root = shared_dir(spark, purpose)
+    sent = fixture.envelope(_events(spark, sf_dir))
+    for part in parts or (F.lit(True),):
+        sent.where(part).repartition(BATCHES).write.mode("append").parquet(f"{root}/topic")
+    stream = spark.readStream.schema(sent.schema).option("maxFilesPerTrigger", 1)
+    return root, stream.parquet(f"{root}/topic")
+
+
+@query
+def stream_restart(spark, sf_dir):
+    """A stream of several batches fails before one commit and after another, and is started again.
+
+    Every message is there once; the batches are as many as the files, and one was given twice.
+    """
+    root, topic = _topic(spark, sf_dir, "restart")
+    table, given = batches.BatchTable(spark, f"{root}/table"), []
+    messages = routing.parse(topic).select(*TX, "kafka_partition")
+
+    def failing(rows, batch):
+        first = batch not in given
+        given.append(batch)
+        if first and batch == 1:
+            rows.write.parquet(f"{root}/table/rows/query=restart/batch=1/cut-off")
+            raise RuntimeError("stopped before the commit")
+        written = table.append(rows, "restart", batch)
+        if first and batch == 3:
+            raise RuntimeError("stopped after the commit")
+        if not first and batch == 3 and written:
+            raise ValueError("a committed batch was written again")
+
+    def run():
+        stream = batches.start_batches(messages, table, "restart", f"{root}/checkpoint", BY_FILE, failing)
+        try:
+            stream.awaitTermination()
+        except StreamingQueryException as error:
+            if "stopped" not in str(error):
+                raise
+
+    for _ in range(3):
+        run()
+    enough = table.batches().count() == BATCHES and given.count(1) == given.count(3) == 2
+    return table.read(messages.schema).withColumn("each_batch_once", F.lit(enough))
+
+
+@query
+def batch_metrics(spark, sf_dir):
+    """Counts observed in each batch, written by a listener and added up; they equal the landed rows."""
+    root, topic = _topic(spark, sf_dir, "metrics")
+    log = batches.ProgressLog(spark, f"{root}/progress", "routes")
+    spark.streams.addListener(log)
+    try:
+        stream = ingest.start_ingest(topic, f"{root}/landing", f"{root}/checkpoint", BY_FILE, metrics="routes")
+        stream.awaitTermination()
+        log.wait(stream)
+    finally:
+        spark.streams.removeListener(log)
+    landed = spark.read.parquet(f"{root}/landing").count()
+    return log.read().agg(
+        F.count(F.lit(1)).alias("batch_count"),
+        *(F.sum(name).alias(name) for name in ("input_rows", "valid", "quarantined", "rescued", "fraud")),
+        (F.sum("valid") + F.sum("quarantined") == landed).alias("equals_landed"),
+    )
+
+
+@query
+def ingest_dedup(spark, sf_dir):
+    """Ingest that drops repeats, over several batches; the repeats of all messages come in later ones."""
+    again = F.col("offset") >= fixture.REPEAT_OFFSET
+    root, topic = _topic(spark, sf_dir, "dedup-ingest", ~again, again)
+    landing = f"{root}/landing"
+    ingest.start_ingest(topic, landing, f"{root}/checkpoint", BY_FILE, repeat_delay="1 hour").awaitTermination()
+    return spark.read.parquet(landing).select("route", "kafka_partition", "kafka_offset", *c.MESSAGE_SCHEMA.names)
+
+
 @query
 def partition_scan(spark, sf_dir):
     root = shared_dir(spark, "days")
@@ -710,6 +791,29 @@ def job_day(spark, sf_dir):
     return quality.table_counts(medallion.read_warehouse(spark, lake))
 
 
+@query
+def catalog_after_two_loads(spark, sf_dir):
+    """Views made once, over tables of one day; a second day is loaded and another session reads them."""
+    lake, later = _lake(spark, sf_dir, "lasting"), SCAN_DAY + dt.timedelta(days=1)
+    database = f"paytrail_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {database}")
+    medallion.run_day(spark, lake, SCAN_DAY)
+    for name in c.WAREHOUSE_TABLES:
+        tables_catalog.create_table(spark, f"{database}.{name}", DayTable(spark, lake.warehouse(name)))
+    tables_catalog.create_views(spark, database, lasting.DEFINITIONS)
+    medallion.run_silver(spark, lake, later)
+    medallion.run_gold(spark, lake, later)
+    medallion.run_load(spark, lake, later, database)
+    other = prepare(spark.newSession())
+    found = other.table(f"{database}.v_fraud_by_type").unionByName(
+        other.table(f"{database}.pipeline_health"), allowMissingColumns=True
+    )
+    path = shared_dir(spark, "lasting")
+    found.write.parquet(path)
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return spark.read.parquet(path)
+
+
 @query
 def silver_job_metrics(spark, sf_dir):
     seen = medallion.run_silver(spark, _lake(spark, sf_dir, "silver-job"), SCAN_DAY)

