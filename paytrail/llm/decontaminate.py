@@ -6,14 +6,15 @@ look. There Myers' bit-parallel algorithm computes the edit distance. The items
 blocks of bounded size, and each block against all documents.
 """
 
-from functools import lru_cache
+from collections.abc import Iterator
+from functools import lru_cache, reduce
 
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paytrail.llm.common import running, shipped, store
+from paytrail.llm.common import running, shipped, store, unused
 
 #: Edits allowed, in hundredths of an item's characters.
 ERROR_PERCENT = 6
@@ -22,6 +23,8 @@ LEAST_PIECE = 12
 #: Characters of test items that one task holds at a time.
 BLOCK_CHARS = 4_000_000
 
+Block = tuple[tuple[int, str], ...]
+
 
 def normal(text: str | None) -> str:
     """Lower case, each run of white space one space."""
@@ -68,8 +71,8 @@ def myers(pattern: str, text: str, most: int) -> tuple[int, int] | None:
     return best
 
 
-@lru_cache(maxsize=2)
-def _automaton(items: tuple[tuple[int, str], ...]):
+@lru_cache(maxsize=1)
+def _automaton(items: Block):
     where: dict[str, list[tuple[int, int]]] = {}
     for n, (_, item) in enumerate(items):
         for offset, piece in pieces(item):
@@ -81,7 +84,7 @@ def _automaton(items: tuple[tuple[int, str], ...]):
     return automaton
 
 
-def search(text: str | None, items: tuple[tuple[int, str], ...]) -> list[tuple[int, int, int]]:
+def search(text: str | None, items: Block) -> list[tuple[int, int, int]]:
     """(item_id, distance, end in the normal text), the best place of each item that occurs."""
     text = normal(text)
     spans: dict[int, list[list[int]]] = {}
@@ -110,67 +113,79 @@ def search(text: str | None, items: tuple[tuple[int, str], ...]) -> list[tuple[i
     return found
 
 
-def blocks(items: DataFrame) -> list[tuple[tuple[int, str], ...]]:
-    """The test items, read in blocks of about BLOCK_CHARS characters.
+def blocks(items: DataFrame) -> Iterator[Block]:
+    """The test items, one block of about BLOCK_CHARS characters after the other.
 
-    Prefix sums of the items' lengths deal them to blocks, so no task sees all items; a block
-    exceeds the size by less than one item.
+    Prefix sums of the items' lengths deal them to blocks, so neither a task nor the driver holds
+    more than one block; a block exceeds the size by less than one item.
     """
     sized = items.where("item_id is not null and trim(text) <> ''").select(
         "item_id", "text", F.length("text").alias("n")
     )
     order = [F.col("item_id"), F.xxhash64("text")]
     before = running(sized, [], order, F.col("n").cast("long"), "before")
-    ids = store(
+    dealt = store(
         before.select("item_id", "text", F.floor(F.col("before") / BLOCK_CHARS).alias("block")), "test-items"
     )
-    numbers = [row.block for row in ids.select("block").distinct().orderBy("block").collect()]
-    read = []
-    for number in numbers:
-        rows = ids.where(F.col("block") == number).collect()
-        read.append(tuple(sorted({(r.item_id, normal(r.text)) for r in rows if normal(r.text)})))
-    return read
+    for (number,) in dealt.select("block").distinct().orderBy("block").collect():
+        rows = dealt.where(F.col("block") == number).select("item_id", "text").collect()
+        block = tuple(sorted({(r.item_id, normal(r.text)) for r in rows if normal(r.text)}))
+        if block:
+            yield block
 
 
 MATCHES = "doc_id long, item_id long, distance long, end long"
 
 
+def _found(docs: DataFrame, block: Block) -> DataFrame:
+    def run(batches):
+        for batch in batches:
+            rows = [
+                (doc_id, *hit)
+                for doc_id, text in zip(
+                    batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True
+                )
+                for hit in search(text, block)
+            ]
+            columns = list(zip(*rows, strict=True)) or [()] * 4
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int64()) for c in columns], ["doc_id", "item_id", "distance", "end"]
+            )
+
+    return shipped(docs).select("doc_id", "text").mapInArrow(run, MATCHES)
+
+
 def matches(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Rows (doc_id, item_id, distance, end) of every test item found in a document.
 
     ``docs`` has doc_id and text, ``items`` item_id and text; other columns are not
     looked at. The best place of an item counts once for each row of ``docs``. Null and
     empty texts and items without an id match nothing; repeated items with one id and text
-    count once; with several texts for an id each is searched.
+    count once; with several texts for an id each is searched. Each block's matches are stored
+    before the next block is read.
     """
-    found = None
-    for block in blocks(items):
-        def run(batches, block=block):
-            for batch in batches:
-                rows = [
-                    (doc_id, *hit)
-                    for doc_id, text in zip(
-                        batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True
-                    )
-                    for hit in search(text, block)
-                ]
-                columns = list(zip(*rows, strict=True)) or [()] * 4
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int64()) for c in columns], ["doc_id", "item_id", "distance", "end"]
-                )
-
-        part = shipped(docs).select("doc_id", "text").mapInArrow(run, MATCHES)
-        found = part if found is None else found.unionByName(part)
-    return found if found is not None else docs.sparkSession.createDataFrame([], MATCHES)
+    parts = [store(_found(docs, block), "test-matches") for block in blocks(items)]
+    return reduce(DataFrame.unionByName, parts, docs.sparkSession.createDataFrame([], MATCHES))
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs`` in which no test item occurs, with all their columns."""
-    for block in blocks(items):
-        def run(batches, block=block):
-            for batch in batches:
-                keep = [not search(text, block) for text in batch.column("text").to_pylist()]
-                yield batch.filter(pa.array(keep, pa.bool_()))
+    """The rows of ``docs`` in which no test item occurs, with all their columns.
 
-        docs = shipped(docs).mapInArrow(run, docs.schema)
-    return docs
+    Each block stores digests of the texts it is found in, and one anti-join takes their rows out. So
+    null and repeated doc_ids do no harm, and equal texts go together; null texts stay.
+    """
+    def contaminated(block):
+        def run(batches):
+            for batch in batches:
+                hits = [bool(search(text, block)) for text in batch.column("text").to_pylist()]
+                yield batch.select(["digest"]).filter(pa.array(hits, pa.bool_()))
+
+        texts = shipped(docs).select("text", F.sha2("text", 256).alias("digest"))
+        return store(texts.mapInArrow(run, "digest string").distinct(), "test-texts")
+
+    parts = [contaminated(block) for block in blocks(items)]
+    if not parts:
+        return docs
+    digest = unused(docs, "_digest")
+    found = reduce(DataFrame.unionByName, parts).distinct().withColumnRenamed("digest", digest)
+    return docs.withColumn(digest, F.sha2("text", 256)).join(found, digest, "left_anti").drop(digest)

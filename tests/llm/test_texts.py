@@ -119,6 +119,34 @@ def test_edit_matching_equals_brute_force(table):
     assert decontaminate.matches(df, tests.limit(0)).count() == 0
 
 
+def test_items_in_many_blocks_equal_one_block(table, monkeypatch):
+    """Repeated items, repeated and missing ids, a very long text and clashing names; an id in two blocks."""
+    rng = np.random.default_rng(11)
+
+    def letters(n):
+        return "".join(rng.choice(list("abcdefghijklmnop "), n)).strip()
+
+    items = [(i // 2, letters(90)) for i in range(24)]
+    tests = table([*items, items[3], (None, letters(50))], "item_id long, text string")
+    docs = [(i, letters(60) + items[i][1] + letters(60), "x") for i in range(0, 24, 3)]
+    docs += [(0, letters(200), "same id"), (None, "to " + items[7][1], "no id"), (None, None, None), (50, "", "")]
+    docs += [(51, letters(100_000) + items[20][1], "long"), docs[0]]
+    df = table(docs, "doc_id long, text string, _digest string")
+
+    def rows(frame):
+        return sorted(map(tuple, frame.collect()), key=repr)
+
+    one = rows(decontaminate.matches(df, tests)), rows(decontaminate.clean(df, tests))
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 300)
+    assert len(list(decontaminate.blocks(tests))) > 5
+    cleaned = decontaminate.clean(df, tests)
+    assert (rows(decontaminate.matches(df, tests)), rows(cleaned)) == one and cleaned.columns == df.columns
+    dirty = [t for _, t in items]
+    assert one[1] == sorted((d for d in docs if not any(t in (d[1] or "") for t in dirty)), key=repr)
+    assert decontaminate.clean(df.limit(0), tests).count() == 0
+    assert rows(decontaminate.clean(df, tests.limit(0))) == rows(df)
+
+
 def test_items_with_repeated_pieces_equal_brute_force():
     rng = np.random.default_rng(5)
 
