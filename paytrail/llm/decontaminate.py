@@ -119,9 +119,17 @@ def blocks(items: DataFrame) -> Iterator[Block]:
     Prefix sums of the items' lengths deal them to blocks, so neither a task nor the driver holds
     more than one block; a block exceeds the size by less than one item.
     """
-    sized = items.where("item_id is not null and trim(text) <> ''").select(
-        "item_id", "text", F.length("text").alias("n")
-    )
+    def plain(batches):
+        for batch in batches:
+            texts = [normal(text) for text in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("item_id"), pa.array(texts, pa.string())], ["item_id", "text"]
+            )
+
+    named = shipped(items).where("item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
+    # Repeats go before the dealing: in two blocks an item would be found twice.
+    distinct = named.mapInArrow(plain, "item_id long, text string").where("text <> ''").distinct()
+    sized = distinct.select("item_id", "text", F.length("text").alias("n"))
     order = [F.col("item_id"), F.xxhash64("text")]
     before = running(sized, [], order, F.col("n").cast("long"), "before")
     dealt = store(
@@ -129,9 +137,7 @@ def blocks(items: DataFrame) -> Iterator[Block]:
     )
     for (number,) in dealt.select("block").distinct().orderBy("block").collect():
         rows = dealt.where(F.col("block") == number).select("item_id", "text").collect()
-        block = tuple(sorted({(r.item_id, normal(r.text)) for r in rows if normal(r.text)}))
-        if block:
-            yield block
+        yield tuple(sorted((r.item_id, r.text) for r in rows))
 
 
 MATCHES = "doc_id long, item_id long, distance long, end long"
