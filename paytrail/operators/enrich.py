@@ -26,9 +26,10 @@ def enrich(ledger: DataFrame, sent_at: Column, source: str = c.SOURCE_NAME) -> D
 
 
 def observe_progress(messages: DataFrame, observation) -> DataFrame:
-    """Count sent and fraudulent rows as a by-product of whatever action runs next."""
+    """Count sent and fraudulent rows, and those of unknown type, as a by-product of the next action."""
     return messages.observe(
         observation,
         F.count(F.lit(1)).alias("sent"),
         F.count_if(F.coalesce(F.col("isFraud"), F.lit(0)) != 0).alias("fraud"),
+        F.count_if(~F.coalesce(F.col("type").isin(*c.TRANSACTION_TYPES), F.lit(False))).alias("unknown_type"),
     )

@@ -90,6 +90,10 @@ class Lake:
     def warehouse(self, table: str) -> str:
         return f"{self.root}/warehouse/{table}"
 
+    @property
+    def quality(self) -> str:
+        return f"{self.root}/quality"
+
     def partials(self, table: str) -> str:
         return f"{self.root}/partials/{table}"
 
@@ -213,7 +217,7 @@ def run_day(
 def run_quality(spark: SparkSession, lake: Lake, day: dt.date, only=None) -> DataFrame:
     """Quality report of one day, for all layers or the chosen ones.
 
-    A layer without files for the day gets one failed row. ``quality.verdict`` sums a report up.
+    A layer without files for the day gets one failed row. ``quality_gate`` stores and judges it.
     """
     silver, alerts, summary = (DayTable(spark, p) for p in (lake.silver, lake.alerts, lake.summary))
     published = {name: DayTable(spark, lake.warehouse(name)) for name in c.WAREHOUSE_TABLES}
@@ -247,3 +251,22 @@ def run_quality(spark: SparkSession, lake: Lake, day: dt.date, only=None) -> Dat
     return quality.run_checks(
         {name: partial(checked, name, *layer) for name, layer in layers.items()}, only
     )
+
+
+def quality_gate(
+    spark: SparkSession, lake: Lake, day: dt.date, only=None, strict: bool = False
+) -> DataFrame:
+    """Run the checks of one day once, publish their report and return its verdict (one row).
+
+    The report stays readable in ``lake.quality`` also when the gate refuses the day: with failed
+    checks, or with warnings if ``strict``, it raises after publishing.
+    """
+    table = DayTable(spark, lake.quality)
+    table.publish(run_quality(spark, lake, day, only).withColumn("transaction_date", F.lit(day)), day)
+    summed = quality.verdict(table.read([day]))
+    found = summed.first()
+    if found.failed or (strict and found.warnings):
+        raise tables.DataGateError(
+            f"{found.verdict} on {day}: {found.failed} failed, {found.warnings} warnings, {found.passed} passed"
+        )
+    return summed

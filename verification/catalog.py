@@ -16,7 +16,7 @@ from paytrail.operators import (
     activity, cleaning, metrics, publishing, quality, routing, scoring,
 )
 from paytrail.operators.enrich import enrich as enrich_rows
-from paytrail.plans import lasting, medallion, partials, views
+from paytrail.plans import feed, lasting, medallion, partials, views
 from paytrail.session import prepare, shared_dir
 from paytrail.sources import catalog as tables_catalog
 from paytrail.sources import ledger_file, tables
@@ -141,6 +141,31 @@ def ledger_csv(spark, sf_dir):
     return ledger_file.read_ledger(spark, path)
 
 
+@query
+def ledger_slice_deep(spark, sf_dir):
+    """The second half of the ledger, by positions in the stored order."""
+    rows = fixture.ledger(_events(spark, sf_dir))
+    half = rows.count() // 2
+    return ledger_file.ledger_slice(rows, ["kafka_offset"], half, half, one_task=0).select(
+        *c.LEDGER_SCHEMA.names, "kafka_offset"
+    )
+
+
+@query
+def ledger_fed(spark, sf_dir):
+    """The ledger but its first rows, published as one batch; what the topic holds beside the job's counts."""
+    topic = f"{shared_dir(spark, 'feed')}/topic"
+    counts = feed.run_feed(
+        fixture.ledger(_events(spark, sf_dir)), lambda messages: fixture.wrapped(messages).write.parquet(topic),
+        order=["kafka_offset"], skip=SLICE[0], sent_at=F.col("kafka_timestamp"),
+    )
+    held = routing.parse(spark.read.schema(c.ENVELOPE_SCHEMA).parquet(topic))
+    return held.groupBy("type").agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_if("isSuspicious").alias("fraud_count"),
+        F.count_if("isFullDrain").alias("drained"),
+    ).select("*", *(F.lit(n).alias(f"job_{name}") for name, n in sorted(counts.items())))
+
+
 @query
 def json_roundtrip(spark, sf_dir):
     parsed = routing.parse(fixture.envelope(_events(spark, sf_dir)))
@@ -828,6 +853,20 @@ def dq_absent_day(spark, sf_dir):
     return medallion.run_quality(spark, lake, SCAN_DAY, ["silver", "gold", "warehouse"])
 
 
+@query
+def dq_gate(spark, sf_dir):
+    """The gate refuses a day that only Silver was made for; its stored report and verdict are readable."""
+    lake = _lake(spark, sf_dir, "gate")
+    medallion.run_silver(spark, lake, SCAN_DAY)
+    try:
+        medallion.quality_gate(spark, lake, SCAN_DAY, ["silver", "gold", "warehouse"])
+        refused = False
+    except tables.DataGateError:
+        refused = True
+    report = DayTable(spark, lake.quality).read([SCAN_DAY])
+    return quality.verdict(report).withColumn("refused", F.lit(refused))
+
+
 @query
 def dq_report(spark, sf_dir):
     rows = _silver(spark, sf_dir)

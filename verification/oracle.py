@@ -344,6 +344,19 @@ _SELECTS = {
         nameDest, oldbalanceDest, newbalanceDest, CAST(isFraud AS BIGINT) AS isFraud,
         CAST(isFlaggedFraud AS BIGINT) AS isFlaggedFraud, kafka_offset
         FROM ledger ORDER BY kafka_offset LIMIT 500 OFFSET 100""",
+    "ledger_slice_deep": """SELECT step, type, amount, nameOrig, oldbalanceOrg, newbalanceOrig,
+        nameDest, oldbalanceDest, newbalanceDest, CAST(isFraud AS BIGINT) AS isFraud,
+        CAST(isFlaggedFraud AS BIGINT) AS isFlaggedFraud, kafka_offset
+        FROM (SELECT *, row_number() OVER (ORDER BY kafka_offset) - 1 AS place, count(*) OVER () // 2 AS half
+              FROM ledger) WHERE place >= half AND place < 2 * half""",
+    "ledger_fed": """SELECT type, count(*) AS row_count, count(*) FILTER (WHERE isSuspicious) AS fraud_count,
+        count(*) FILTER (WHERE isFullDrain) AS drained, any_value(s) AS job_sent, any_value(f) AS job_fraud,
+        any_value(u) AS job_unknown_type FROM (SELECT *, count(*) OVER () AS s,
+            count(*) FILTER (WHERE isSuspicious) OVER () AS f,
+            count(*) FILTER (WHERE coalesce(type, '') NOT IN ('CASH_IN', 'CASH_OUT', 'DEBIT', 'PAYMENT',
+                'TRANSFER')) OVER () AS u
+            FROM (SELECT * FROM message QUALIFY row_number() OVER (ORDER BY kafka_offset) > 100))
+        GROUP BY type""",
     "ledger_csv": """SELECT step, type, amount, nameOrig, oldbalanceOrg, newbalanceOrig,
         nameDest, oldbalanceDest, newbalanceDest, CAST(isFraud AS BIGINT) AS isFraud,
         CAST(isFlaggedFraud AS BIGINT) AS isFlaggedFraud FROM ledger""",
@@ -651,6 +664,10 @@ _SELECTS = {
         (SELECT count(*) FROM bronze WHERE CAST(sent_ts AS DATE) = DATE '2024-01-15') - count(*)
         AS duplicate_rows FROM silver WHERE {ON_DAY}""",
     "dq_absent_day": union(DAY_CHECKS),
+    "dq_gate": f"""SELECT passed, warnings, failed, CASE WHEN failed > 0 THEN 'failures'
+        WHEN warnings > 0 THEN 'warnings' ELSE 'all clear' END AS verdict, failed > 0 AS refused FROM (SELECT
+        {n_if("status = 'passed'")} AS passed, {n_if("status = 'warning'")} AS warnings,
+        {n_if("status = 'failed'")} AS failed FROM ({union(DAY_CHECKS)}))""",
     "dq_report": f"""SELECT passed, warnings, failed, CASE WHEN failed > 0 THEN 'failures'
         WHEN warnings > 0 THEN 'warnings' ELSE 'all clear' END AS verdict FROM (SELECT
         {n_if("status = 'passed'")} AS passed, {n_if("status = 'warning'")} AS warnings,
