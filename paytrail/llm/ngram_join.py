@@ -8,6 +8,9 @@ every class searches the inverted lists of the others.
 the sizes. The hash range is cut into p = H + 1 + S parts, so S + 1 parts are equal
 in both sets. Parts with few shingles say little and are left out, unless a set has more
 than S of them; then it uses all. Either way two linked sets share a part: nothing is lost.
+A part that very many classes share is a template's and says little, too. Its classes are brought
+together by their rarest shingles instead: of n shingles at most n - T differ, so the first
+n - T + 1 of two linked sets, in one order of all shingles, have one in common.
 
 *Search.* A query merges its short lists and keeps documents that occur often enough to
 still reach the overlap T; those are probed in the long lists by binary search. The k-way merge
@@ -30,6 +33,8 @@ from paytrail.llm.common import components, shipped, store
 BLOCK = 512
 #: Cost of one binary probe relative to one merged entry, from the DivideSkip paper.
 MU = 0.0085
+#: Hash buckets (a power of two) whose counts tell how rare a shingle is; one byte each in every task.
+COUNTED = 1 << 22
 _MASK = (1 << 64) - 1
 _ODD = 0x9E3779B97F4A7C15
 
@@ -268,18 +273,77 @@ def shared_parts(described: DataFrame) -> DataFrame:
     return store(rows.join(shared, "sig").distinct(), "ngram-parts")
 
 
-def possible(parts: DataFrame, described: DataFrame, percent: int) -> DataFrame:
-    """(sub, dig, low): of the classes in a part, those that may be linked with another in it.
+def rarest(docs: DataFrame, digs: DataFrame, described: DataFrame, size: int, percent: int) -> DataFrame:
+    """(dig, sigs): the rarest shingles of the classes ``digs``, so many that linked classes share one.
 
-    Parts with the same classes are looked at once. The bound from the folded sets rules most
-    chance meetings out before any text moves; a part with more than BLOCK classes stays whole.
+    Shingles are ordered by the number of these classes in their bucket of hashes, to a factor of
+    1.4, then by hash. Any order gives every link; this one keeps groups small. The counts
+    are added up by Spark over all the classes; at most COUNTED of them come to the driver.
     """
+    shift = np.uint64(64 - (COUNTED.bit_length() - 1))
+    first = described.groupBy("dig").agg(F.min("doc_id").alias("doc_id"))
+    texts = store(
+        docs.select("doc_id", "text").join(first.join(digs, "dig"), "doc_id").select("dig", "text"),
+        "ngram-templates",
+    )
+
+    def sets(batch):
+        for dig, text in zip(batch.column("dig").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            shingles = shingle_set(text, size)
+            if len(shingles) and digest(shingles) == dig:
+                yield dig, shingles
+
+    def counted(batches):
+        counts = np.zeros(COUNTED, np.int64)
+        for batch in batches:
+            for _, shingles in sets(batch):
+                np.add.at(counts, (shingles >> shift).astype(np.int64), 1)
+        found = np.flatnonzero(counts > 0)
+        for at in range(0, len(found), 1 << 16):
+            some = found[at : at + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], ["bucket", "n"])
+
+    rows = shipped(texts).mapInArrow(counted, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    known = rows.where("n > 1").select("bucket", F.floor(2 * F.log2("n")).cast("int").alias("level")).toArrow()
+    levels = np.zeros(COUNTED, np.uint8)
+    levels[known.column("bucket").to_numpy()] = known.column("level").to_numpy()
+
+    def chosen(batches):
+        for batch in batches:
+            digs, sigs = [], []
+            for dig, shingles in sets(batch):
+                n = len(shingles)
+                order = np.argsort(levels[(shingles >> shift).astype(np.int64)], kind="stable")
+                digs.append(dig)
+                sigs.append(_mix(shingles[order[: n + 1 - max(1, -(-percent * n // 100))]]).view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(digs, pa.int64()), pa.array(sigs, pa.list_(pa.int64()))], ["dig", "sigs"]
+            )
+
+    return texts.mapInArrow(chosen, "dig long, sigs array<long>")
+
+
+def _lists(parts: DataFrame) -> DataFrame:
+    """(sig, dig, low, n): each set of classes that share parts once, n its classes."""
     one = F.xxhash64("dig", F.lit(7)).cast("decimal(20,0)")
     alike = parts.groupBy("sig").agg(F.sum(one).alias("all"), F.count(F.lit(1)).alias("n"))
-    lists = store(
+    return store(
         parts.join(alike.groupBy("all", "n").agg(F.min("sig").alias("sig")).select("sig", "n"), "sig"),
         "ngram-lists",
     )
+
+
+def possible(parts: DataFrame, docs: DataFrame, described: DataFrame, size: int, percent: int) -> DataFrame:
+    """(sub, dig, low): of the classes in a part, those that may be linked with another in it.
+
+    Parts with the same classes are looked at once. Classes of parts with more than BLOCK meet by
+    their rarest shingles instead. The bound from the folded sets rules most chance meetings out
+    before any text moves; what more than BLOCK classes share even so stays whole.
+    """
+    lists = _lists(parts)
+    crowded = lists.where(F.col("n") > BLOCK).select("dig").distinct()
+    finer = _lists(shared_parts(rarest(docs, crowded, described, size, percent)))
+    lists = lists.where(F.col("n") <= BLOCK).unionByName(finer)
     short = lists.where(F.col("n") <= BLOCK)
     bins = max(1, -(-short.count() // (16 * BLOCK)))
     folds = described.groupBy("dig").agg(
@@ -357,7 +421,7 @@ def _cells(members: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame, described: DataFrame, size: int, percent: int) -> DataFrame:
     """Links (a, b) between classes, enough to span every component of the join."""
-    parts = possible(shared_parts(described), described, percent)
+    parts = possible(shared_parts(described), docs, described, size, percent)
     edges = parts.where("dig <> low").select(F.col("dig").alias("a"), F.col("low").alias("b"))
     grouped = components(edges, "ngram-groups").select(F.col("node").alias("dig"), F.col("root").alias("grp"))
     grouped = store(grouped, "ngram-candidates")
