@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from paytrail.operators.enrich import enrich, observe_progress
-from paytrail.sources.ledger_file import ledger_slice
+from paytrail.sources.ledger_file import ledger_slice, unknown_type
 
 log = logging.getLogger(__name__)
 
@@ -26,10 +26,11 @@ def run_feed(
     if order is None and (skip or limit is not None):
         raise ValueError("a slice needs an order")
     rows = ledger if order is None else ledger_slice(ledger, order, skip, limit)
-    progress = Observation()
+    progress, types = Observation(), Observation()
     messages = enrich(rows, F.current_timestamp() if sent_at is None else sent_at)
-    send(observe_progress(messages, progress))
-    counts = {"sent": 0, "fraud": 0, "unknown_type": 0} | progress.get
+    unknown = F.count_if(unknown_type()).alias("unknown_type")
+    send(observe_progress(messages.observe(types, unknown), progress))
+    counts = {"sent": 0, "fraud": 0, "unknown_type": 0} | progress.get | types.get
     if counts["unknown_type"]:
         log.warning("%d rows of unknown type were sent", counts["unknown_type"])
     return counts

@@ -2,7 +2,7 @@
 
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paytrail import contract as c
@@ -33,10 +33,14 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     return text.withColumns(typed)
 
 
+def unknown_type() -> Column:
+    """Whether the type is outside the known set; true for NULL."""
+    return ~F.coalesce(F.col("type").isin(*c.TRANSACTION_TYPES), F.lit(False))
+
+
 def unknown_types(ledger: DataFrame) -> DataFrame:
     """Distinct transaction types outside the known set; NULL counts as one."""
-    known = F.coalesce(F.col("type").isin(*c.TRANSACTION_TYPES), F.lit(False))
-    return ledger.where(~known).select("type").distinct()
+    return ledger.where(unknown_type()).select("type").distinct()
 
 
 def ledger_slice(
