@@ -89,3 +89,21 @@ def test_linked_sets_share_a_part():
             both = len(np.intersect1d(a, b))
             if 100 * both >= 90 * (len(a) + len(b) - both) and len(a) != len(b):
                 assert set(nj.signatures(a, 90)) & set(nj.signatures(b, 90))
+
+
+def test_texts_of_one_template_are_not_brought_together(table, monkeypatch):
+    monkeypatch.setattr(nj, "BLOCK", 64)
+    rng = random.Random(5)
+    rows = [
+        (i, " ".join(f"t{k}" for k in range(60)) + " " + " ".join(f"w{rng.randrange(10**6)}" for _ in range(8)))
+        for i in range(400)
+    ]
+    rows += [(400 + i, text + " today") for i, (_, text) in enumerate(rows[:20])]
+    docs = table(rows, "doc_id long, text string")
+    described = nj.describe(docs, 3, 90).cache()
+    shared = nj.shared_parts(described)
+    assert shared.groupBy("sig").count().agg({"count": "max"}).first()[0] > 64
+    found = nj.possible(shared, docs, described, 3, 90).groupBy("sub").count().agg({"count": "max"}).first()[0]
+    assert found <= 64
+    result = nj.join_components(docs, 3, 90).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in result} == brute(rows, 3, 90)
