@@ -71,7 +71,8 @@ class Landing:
 
     def _read(self, paths: list[str]) -> DataFrame:
         if not paths:
-            return self.spark.createDataFrame([], LANDED_SCHEMA.add(ORIGIN, T.StringType()))
+            named = T.StructType([*LANDED_SCHEMA.fields, T.StructField(ORIGIN, T.StringType())])
+            return self.spark.createDataFrame([], named)
         rows = self.spark.read.schema(LANDED_SCHEMA).parquet(*paths)
         return rows.withColumn(ORIGIN, F.col("_metadata.file_name"))
 

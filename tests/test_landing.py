@@ -88,3 +88,11 @@ def test_rows_without_a_time_are_listed_without_a_day(spark, lake):
     odd = lake.landed(spark).committed(ingest.QUARANTINE).collect()
     assert [r.day for r in odd] == [None]
     assert lake.landed(spark).compact(dt.date(2024, 3, 9)) == 0
+
+
+def test_a_day_without_files_leaves_the_schema_of_the_others(spark, lake):
+    lake, _ = lake
+    landing = lake.landed(spark)
+    before = list(ingest.LANDED_SCHEMA.names)
+    assert landing.read_day(dt.date(2024, 3, 9)).isEmpty() and ingest.LANDED_SCHEMA.names == before
+    assert steps(landing) == [1, 2, 4]
