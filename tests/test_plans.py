@@ -13,6 +13,8 @@ from paytrail.operators.quantile import exact_quantile
 from paytrail.plans import views
 from paytrail.plans.medallion import to_silver
 from paytrail.sources import tables
+from paytrail.streaming import ingest
+from verification import fixture
 
 
 def plan(df):
@@ -126,3 +128,9 @@ def test_a_key_with_very_many_copies(spark):
         spark.range(50_000).withColumnRenamed("id", "kafka_offset"))
     kept = cleaning.latest_only(copies).collect()
     assert len(kept) == 1 and kept[0].kafka_offset == 49_999
+
+
+def test_a_message_is_parsed_once(spark, sf_dir):
+    routed = ingest.routed(fixture.envelope(fixture.events(spark, sf_dir)))
+    optimized = routed._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized.count("from_json(") == 1
