@@ -17,6 +17,8 @@ from paytrail.sources.tables import day_text
 from paytrail.streaming.batches import observe_routes
 
 LANDED = [*LANDED_SCHEMA.names, *c.DAY_PARTITION]
+#: Most tasks, and so files, that one batch spreads a route's day over once repeats are dropped.
+SPREAD = 8
 
 
 def append_stream(
@@ -54,7 +56,9 @@ def start_ingest(
     """
     rows = routed(envelope)
     if repeat_delay:
-        rows = drop_repeated_valid(rows, repeat_delay)
+        # Dropping repeats deals every day to every state partition, so each would write a file a day.
+        part = F.pmod(F.xxhash64("kafka_partition", "kafka_offset"), F.lit(SPREAD))
+        rows = drop_repeated_valid(rows, repeat_delay).repartition("route", *c.DAY_PARTITION, part)
     if metrics:
         rows = observe_routes(rows, metrics)
     return append_stream(rows, landing, checkpoint, ("route", *c.DAY_PARTITION), trigger)

@@ -79,3 +79,19 @@ def test_ingest_drops_repeats_of_valid_rows_in_later_batches(spark, tmp_path):
     ).awaitTermination()
     found = spark.read.parquet(str(tmp_path / "l")).groupBy("route").count().collect()
     assert {r.route: r["count"] for r in found} == {"bronze": 1, "quarantine": 3}
+
+
+def test_ingest_without_repeats_writes_few_files_a_day(spark, tmp_path):
+    """However many partitions hold the state, a batch has at most ``SPREAD`` files a route and day."""
+    texts = [json.dumps(rows.LEDGER | rows.DERIVED | {"step": i}) for i in range(400)]
+    stream = topic(spark, str(tmp_path / "topic"), texts)
+    saved = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 24)
+    try:
+        ingest.start_ingest(
+            stream, str(tmp_path / "l"), str(tmp_path / "cp"), {"availableNow": True}, repeat_delay="1 hour"
+        ).awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", saved)
+    found = spark.read.parquet(str(tmp_path / "l"))
+    assert found.count() == 400 and len(found.inputFiles()) <= ingest.SPREAD

@@ -207,6 +207,7 @@ def stream_dedup(spark, sf_dir):
 
 
 BATCHES = 6
+ROW_GROUP = 8 << 20
 BY_FILE = {"availableNow": True}
 
 
@@ -215,7 +216,9 @@ def _topic(spark, sf_dir, purpose, *parts):
     root = shared_dir(spark, purpose)
     sent = fixture.envelope(_events(spark, sf_dir))
     for part in parts or (F.lit(True),):
-        sent.where(part).repartition(BATCHES).write.mode("append").parquet(f"{root}/topic")
+        # A batch is one file; small row groups let many tasks read it.
+        files = sent.where(part).repartition(BATCHES).write.option("parquet.block.size", ROW_GROUP)
+        files.mode("append").parquet(f"{root}/topic")
     stream = spark.readStream.schema(sent.schema).option("maxFilesPerTrigger", 1)
     return root, stream.parquet(f"{root}/topic")
 
