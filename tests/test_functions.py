@@ -83,3 +83,15 @@ def test_shared_dir_comes_from_the_session(spark):
     assert shared_dir(spark, "x").startswith(base)
     assert shared_dir(spark, "x") != shared_dir(spark, "x")
     assert prepare(spark).conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_a_task_reads_no_more_than_bounded(spark):
+    advised, split = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes"
+    other = spark.newSession()
+    other.conf.set(advised, "64MB")
+    prepare(other)
+    assert (other.conf.get(advised), other.conf.get(split)) == ("16MB", "32MB")
+    other.conf.set(advised, "8m")
+    other.conf.set(split, str(1 << 20))
+    prepare(other)
+    assert (other.conf.get(advised), other.conf.get(split)) == ("8m", str(1 << 20))

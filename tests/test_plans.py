@@ -12,6 +12,7 @@ from paytrail.operators import activity, cleaning, scoring
 from paytrail.operators.quantile import exact_quantile
 from paytrail.plans import views
 from paytrail.plans.medallion import to_silver
+from paytrail.session import prepare
 from paytrail.sources import tables
 from paytrail.streaming import ingest
 from verification import fixture
@@ -62,6 +63,22 @@ def test_summary_aggregates_before_its_shuffles(stored):
                for part in text.split("Exchange hashpartitioning")[1:])
 
 
+def test_a_task_of_the_summary_reads_a_bounded_part(spark, tmp_path):
+    """Account-days that compress to some 30 MB come to several tasks, however few cores there are."""
+    path = str(tmp_path / "many")
+    other = spark.newSession()
+    other.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    other.conf.set("spark.sql.shuffle.partitions", "8")
+    prepare(other)
+    rows.silver(spark, {}).drop("nameOrig", "kafka_offset").crossJoin(
+        spark.range(0, 300_000, 1, 4).select(F.sha2(F.col("id").cast("string"), 256).alias("nameOrig"),
+                                             F.col("id").alias("kafka_offset"))
+    ).write.parquet(path)
+    found = activity.summarize(other.read.parquet(path)).select("nameOrig", "unique_recipients")
+    assert found.rdd.getNumPartitions() > 1
+    assert found.agg(F.count("*"), F.sum("unique_recipients")).first() == (300_000, 300_000)
+
+
 def test_join_strategy_reads_only_what_it_needs(stored, no_broadcast):
     text = plan(scoring.alerts(stored))
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", text)
